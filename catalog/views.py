@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptmill.functions import configure
@@ -25,69 +25,56 @@ def with_neighbours(conversations: DataFrame, chunk: int = NEIGHBOUR_CHUNK) -> D
     and the rows at a cut are also sent to the chunk next door, so that a
     conversation of any length spreads over many groups.
     """
-    turn = F.col("turn")
-    own = F.floor(turn / chunk)
-    homes = F.array_distinct(
-        F.array(own, F.floor(F.greatest(turn - 1, F.lit(0)) / chunk), F.floor((turn + 1) / chunk))
-    )
-    rows = conversations.withColumn("_own", own).withColumn("_home", F.explode(homes))
-    w = Window.partitionBy("conv_id", "_home").orderBy("turn")
-    return (
-        rows.select(
-            "conv_id",
-            "turn",
-            "role",
-            "text",
-            "_own",
-            "_home",
-            F.lag("role").over(w).alias("prole"),
-            F.lag("text").over(w).alias("ptext"),
-            F.lead("role").over(w).alias("nrole"),
-            F.lead("text").over(w).alias("ntext"),
-        )
-        .filter(F.col("_own") == F.col("_home"))
-        .drop("_own", "_home")
-    )
+    homes = f"array_distinct(array(turn div {chunk}, greatest(turn - 1, 0) div {chunk}, (turn + 1) div {chunk}))"
+    rows = conversations.selectExpr("*", f"explode({homes}) AS home")
+    over = "OVER (PARTITION BY conv_id, home ORDER BY turn)"
+    sides = [
+        f"{way}({col}) {over} AS {prefix}{col}"
+        for way, prefix in (("lag", "p"), ("lead", "n"))
+        for col in ("role", "text")
+    ]
+    return rows.selectExpr("*", *sides).filter(f"home = turn div {chunk}").drop("home")
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One instruction record per user turn; the answer is the assistant turn that follows."""
-    t = with_neighbours(table(spark, sf_dir, "conversations")).filter(F.col("role") == "user")
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    about = d.join(lab, "doc_id", "left")
-    kind = F.when(F.col("conv_id") % 3 == 0, "Code").otherwise("General")
-    category = F.when(F.col("conv_id") % 11 != 0, F.concat(F.upper("lang"), F.lit("-"), kind))
-    difficulty = (
-        F.when(F.col("quality") == 1, "Advanced").when(F.col("quality") == 0, "Basic").otherwise("Unrated")
-    )
-    return t.join(about, t["conv_id"] == about["doc_id"], "left").select(
-        F.concat(F.lit("C"), "conv_id", F.lit("-"), "turn").alias("id"),
-        F.col("text").alias("instruction"),
-        F.when(F.col("prole") == "system", F.col("ptext")).otherwise("").alias("input"),
-        F.when(F.col("nrole") == "assistant", F.col("ntext")).alias("output"),
-        F.col("lang").alias("language"),
-        category.alias("category"),
-        F.col("source").alias("topic"),
-        difficulty.alias("difficulty"),
-        "conv_id",
-        "turn",
+    return spark.sql(
+        """
+        SELECT concat('C', conv_id, '-', turn) AS id,
+               t.text AS instruction,
+               CASE WHEN prole = 'system' THEN ptext ELSE '' END AS input,
+               CASE WHEN nrole = 'assistant' THEN ntext END AS output,
+               lang AS language,
+               CASE WHEN conv_id % 11 <> 0
+                    THEN concat(upper(lang), '-', CASE WHEN conv_id % 3 = 0 THEN 'Code' ELSE 'General' END)
+               END AS category,
+               source AS topic,
+               CASE quality WHEN 1 THEN 'Advanced' WHEN 0 THEN 'Basic' ELSE 'Unrated' END AS difficulty,
+               conv_id, turn
+        FROM {turns} t
+        LEFT JOIN {documents} d ON d.doc_id = t.conv_id
+        LEFT JOIN {labels} l ON l.doc_id = t.conv_id
+        WHERE role = 'user'
+        """,
+        turns=with_neighbours(table(spark, sf_dir, "conversations")),
+        documents=table(spark, sf_dir, "documents"),
+        labels=table(spark, sf_dir, "labels"),
     )
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records as JSON text, some of it damaged."""
-    metadata = F.struct("language", "category", "topic", "difficulty").alias("metadata")
-    text = F.to_json(F.struct("id", "instruction", "input", "output", metadata))
-    conv = F.col("conv_id")
-    damaged = (
-        F.when(conv % CUT == 0, F.substring("value", 1, F.floor(F.length("value") / 2).cast("int")))
-        .when(conv % TRAILING == 0, F.concat("value", F.lit(" x")))
-        .when(conv % WRAPPED == 0, F.concat(F.lit("["), "value", F.lit("]")))
-        .otherwise(F.col("value"))
-    )
-    return records(spark, sf_dir).withColumn("value", text).select(
-        (conv % 5).alias("file"), "conv_id", "turn", damaged.alias("value")
+    text = """to_json(struct(id, instruction, input, output,
+        struct(language, category, topic, difficulty) AS metadata)) AS value"""
+    damaged = f"""CASE
+        WHEN conv_id % {CUT} = 0 THEN substring(value, 1, length(value) div 2)
+        WHEN conv_id % {TRAILING} = 0 THEN concat(value, ' x')
+        WHEN conv_id % {WRAPPED} = 0 THEN concat('[', value, ']')
+        ELSE value END AS value"""
+    return (
+        records(spark, sf_dir)
+        .selectExpr("conv_id", "turn", text)
+        .selectExpr("conv_id % 5 AS file", "conv_id", "turn", damaged)
     )
 
 

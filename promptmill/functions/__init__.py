@@ -4,7 +4,7 @@ from promptmill.functions.fields import (
     category_key,
     category_label,
     configure,
-    field_variant,
+    field,
     once,
     text_value,
 )
@@ -16,7 +16,7 @@ __all__ = [
     "category_label",
     "configure",
     "estimate_tokens",
-    "field_variant",
+    "field",
     "once",
     "strip",
     "text_value",

@@ -15,6 +15,9 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# The same as an SQL literal.
+WHITESPACE_SQL = "'" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "'"
+
 # A token of the rough estimate is a run of anything but ASCII white space.
 TOKEN_PATTERN = r"[^ \t\n\r\f]+"
 

@@ -96,29 +96,21 @@ def pack_sequences(
     (``start``), where in the block (``place``) and its ``length``. Each example is
     followed by ``separator`` extra tokens. Examples without tokens take no place.
     """
-    size = F.col("_size")
     sized = df.withColumn("_size", (F.col(n_tokens) + separator).cast("bigint")).filter(
         F.col(n_tokens) > 0
     )
-    placed = running_totals(sized, [], order, {"_off": size}, **options)
-    first, last = _div("_off", length), _div(F.col("_off") + size - 1, length)
-    edge = F.col("block_id") * length
-    start = F.greatest(edge - F.col("_off"), F.lit(0))
-    end = F.least(edge + length - F.col("_off"), size)
-    return placed.withColumn("block_id", F.explode(F.sequence(first, last))).select(
-        *df.columns,
+    placed = running_totals(sized, [], order, {"_off": F.col("_size")}, **options)
+    return placed.selectExpr(
+        "*", f"explode(sequence(_off div {length}, (_off + _size - 1) div {length})) AS block_id"
+    ).selectExpr(
+        *[f"`{c}`" for c in df.columns],
         "block_id",
-        start.cast("bigint").alias("start"),
-        F.greatest(F.col("_off") - edge, F.lit(0)).cast("bigint").alias("place"),
-        (end - start).cast("bigint").alias("length"),
+        f"greatest(block_id * {length} - _off, 0) AS start",
+        f"greatest(_off - block_id * {length}, 0) AS place",
+        f"least((block_id + 1) * {length} - _off, _size) - greatest(block_id * {length} - _off, 0) AS length",
     )
 
 
-def _div(value: Column | str, by: int) -> Column:
-    col = F.col(value) if isinstance(value, str) else value
-    return F.floor(col / F.lit(by)).cast("bigint")
-
-
 def packed_blocks(pieces: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     """Blocks with their tokens, from packed pieces that carry the example's ``tokens``.
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,7 +58,7 @@ def order_records(
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col), F.lit(""))))
     bucket = F.conv(F.substring(key, 1, PREFIX), 16, 10).cast("int")
 
-    counts = df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).toPandas().sort_values("b")
+    counts = df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).toArrow().to_pandas().sort_values("b")
     before = counts["n"].cumsum() - counts["n"]
     n = int(counts["n"].sum())
     kept = n if limit is None else min(n, limit)
@@ -69,14 +69,7 @@ def order_records(
     span = int(before.iloc[-1] + counts["n"].iloc[-1])
     tasks = _task_count(df, span, rows_per_task)
     hot = counts["n"] > max(hot_rows, 4 * n >> (4 * PREFIX))
-    places = pd.DataFrame(
-        {
-            "_bucket": counts["b"].astype(np.int32),
-            "_first": before.astype(np.int64),
-            "_task": (before * tasks // span).astype(np.int32),
-            "_hot": hot,
-        }
-    )
+    places = pd.DataFrame({"_bucket": counts["b"], "_first": before, "_task": before * tasks // span})
 
     keyed = df.withColumns({"_key": key, "_bucket": bucket, "_digest": digest})
     positions = []
@@ -97,13 +90,15 @@ def _task_count(df: DataFrame, rows: int, rows_per_task: int) -> int:
 
 def _placed(keyed: DataFrame, places: pd.DataFrame) -> DataFrame:
     """Keep the records of the given buckets. The table has 65,536 rows at most."""
-    return keyed.join(F.broadcast(keyed.sparkSession.createDataFrame(places)), "_bucket")
+    schema = pa.schema([("_bucket", pa.int32()), ("_first", pa.int64()), ("_task", pa.int32())])
+    table = keyed.sparkSession.createDataFrame(pa.Table.from_pandas(places, schema, preserve_index=False))
+    return keyed.join(F.broadcast(table), "_bucket")
 
 
 def _cold_positions(df: DataFrame, rows: DataFrame, tasks: int) -> DataFrame:
     """Rank inside each bucket; ``_task`` rises with the bucket, so tasks are in ``pos`` order."""
     inside = Window.partitionBy("_task", "_bucket").orderBy("_key", "_digest")
-    return rows.repartitionById(tasks, F.col("_task").cast("int")).select(
+    return rows.repartitionById(tasks, F.col("_task")).select(
         *df.columns, (F.col("_first") + F.row_number().over(inside) - 1).alias("pos")
     )
 

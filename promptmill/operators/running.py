@@ -10,7 +10,7 @@ CHUNK = 65_536
 
 
 def chunk_of(order: str, chunk: int = CHUNK) -> Column:
-    return F.floor(F.col(order) / F.lit(chunk))
+    return F.expr(f"`{order}` div {chunk}")
 
 
 def running_totals(

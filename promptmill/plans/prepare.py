@@ -57,7 +57,7 @@ def prepare(lines: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepar
     """
     cap = check_cap(config.max_examples)
     parsed = stage(tag_lines(lines), "parsed")
-    kept = filter_category(accepted(parsed), config.category_filter, category_key(F.col("metadata")))
+    kept = filter_category(accepted(parsed), config.category_filter, category_key())
     ordered = order_records(kept, config.seed, digest=F.col("digest"), limit=cap)
     n = ordered.n if cap is None else min(cap, ordered.n)
     records = ordered.df.withColumns(
@@ -68,7 +68,7 @@ def prepare(lines: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepar
         records=records,
         quarantine=quarantine(parsed),
         counters=run_counters(parsed, records, config.category_filter),
-        categories=category_distribution(records, category_label(F.col("metadata"))),
+        categories=category_distribution(records, category_label()),
     )
 
 
@@ -76,7 +76,7 @@ def run_counters(parsed: DataFrame, records: DataFrame, category_filter: str | N
     """One row: lines loaded and rejected, records after the filter, written per split, skipped."""
     good = F.col("reason").isNull()
     wanted = parse_categories(category_filter)
-    chosen = good if wanted is None else good & F.lower(category_key(F.col("metadata"))).isin(wanted)
+    chosen = good if wanted is None else good & F.lower(category_key()).isin(wanted)
     read = parsed.agg(
         F.count_if(good).alias("loaded"),
         F.count_if(F.col("reason") == "malformed").alias("malformed"),

@@ -5,12 +5,12 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from promptmill.functions.fields import configure, field_variant
-from promptmill.functions.text import strip
-from promptmill.sources.lines import _in_array, is_single_value
+from promptmill.functions.fields import configure, field, once
+from promptmill.functions.text import WHITESPACE_SQL, strip
+from promptmill.sources.lines import in_array, is_single_value
 
 # Files that are never data, and how many lines are looked at.
 IGNORED_NAMES = ["dataset-metadata.json"]
@@ -21,16 +21,14 @@ SAMPLE_LINES = 3
 SMALL_LISTING = 64
 
 
-def has_record_shape(value: Column) -> Column:
-    """One JSON object with ``instruction`` and ``output``, or with ``messages``."""
-    line = strip(value)
-    wrapped = _in_array(line)
-    record = F.try_variant_get(wrapped, "$[0]", "variant")
-    shape = (
-        field_variant(record, "instruction").isNotNull() & field_variant(record, "output").isNotNull()
-    ) | field_variant(record, "messages").isNotNull()
-    ok = F.is_valid_utf8(line) & line.startswith("{") & is_single_value(line, wrapped) & shape
-    return F.coalesce(ok, F.lit(False))
+def with_verdict(lines: DataFrame, value: str) -> DataFrame:
+    """Add ``ok``: the line is one JSON object with ``instruction`` and ``output``, or with ``messages``."""
+    parsed = once(once(lines, _line=f"btrim(`{value}`, {WHITESPACE_SQL})"), _wrapped=in_array("_line"))
+    record = once(parsed, _record="try_variant_get(_wrapped, '$[0]', 'variant')")
+    has = {name: f"{field('_record', name)} IS NOT NULL" for name in ("instruction", "output", "messages")}
+    ok = f"""is_valid_utf8(_line) AND startswith(_line, '{{') AND {is_single_value('_line', '_wrapped')}
+        AND ({has['instruction']} AND {has['output']} OR {has['messages']})"""
+    return once(record, ok=f"coalesce({ok}, false)").select(*lines.columns, "ok")
 
 
 def sniff_shape(lines: DataFrame, order: list[str], file: str = "file", value: str = "value") -> DataFrame:
@@ -46,14 +44,14 @@ def sniff_shape(lines: DataFrame, order: list[str], file: str = "file", value: s
         .filter(F.col("_rn") <= SAMPLE_LINES)
     )
     configure(lines.sparkSession)
-    return head.groupBy(file).agg(F.bool_and(has_record_shape(F.col(value))).alias("ok"))
+    return with_verdict(head, value).groupBy(file).agg(F.bool_and("ok").alias("ok"))
 
 
 def sniff_file(spark: SparkSession, path: str) -> bool:
     """The same for one file, reading no more than its first lines."""
     configure(spark)
     lines = spark.read.text(path).filter(strip(F.col("value")) != "").limit(SAMPLE_LINES)
-    verdicts = [row.ok for row in lines.select(has_record_shape(F.col("value")).alias("ok")).collect()]
+    verdicts = [row.ok for row in with_verdict(lines, "value").collect()]
     return bool(verdicts) and all(verdicts)
 
 

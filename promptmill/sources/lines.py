@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptmill.functions.fields import configure, field_variant, once, text_value
-from promptmill.functions.text import strip
+from promptmill.functions.fields import configure, field, once, text_value
+from promptmill.functions.text import WHITESPACE_SQL
 
 RECORD_COLUMNS = ["id", "id_value", "instruction", "input", "output", "metadata", "digest"]
 
@@ -36,23 +36,20 @@ def read_lines(spark: SparkSession, path: str | list[str], line_numbers: bool =
     )
 
 
-def _in_array(line: Column) -> Column:
-    return F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+def in_array(line: str) -> str:
+    return f"try_parse_json(concat('[', {line}, ']'))"
 
 
-def _in_object(line: Column) -> Column:
-    return F.try_parse_json(F.concat(F.lit('{"r":'), line, F.lit("}")))
-
-
-def is_single_value(line: Column, wrapped: Column) -> Column:
-    """The line is one JSON value and nothing else.
+def is_single_value(line: str, wrapped: str) -> str:
+    """SQL: the line is one JSON value and nothing else.
 
     The parser ignores what follows the first complete value. Inside brackets, a
     second value shows as a second element, and any other rest is an error unless
     the line itself closes the bracket; such lines must also fit inside braces.
     """
-    alone = wrapped.isNotNull() & F.try_variant_get(wrapped, "$[1]", "variant").isNull()
-    return alone & F.when(~F.contains(line, F.lit("]")), True).otherwise(_in_object(line).isNotNull())
+    in_object = f"""try_parse_json(concat('{{"r":', {line}, '}}'))"""
+    return f"""{wrapped} IS NOT NULL AND try_variant_get({wrapped}, '$[1]', 'variant') IS NULL
+        AND CASE WHEN contains({line}, ']') THEN {in_object} IS NOT NULL ELSE true END"""
 
 
 def tag_lines(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -63,33 +60,29 @@ def tag_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     ``not_object`` or ``bad_type``.
     """
     configure(lines.sparkSession)
-    line, wrapped, record = F.col("_line"), F.col("_wrapped"), F.col("_record")
     texts = ["instruction", "input", "output"]
-    found = once(lines, _line=strip(F.col(value))).filter(line != "")
-    parsed = once(found, _wrapped=_in_array(line))
-    single = once(parsed, _single=is_single_value(line, wrapped))
-    is_object = F.col("_single") & line.startswith("{")
+    found = once(lines, _line=f"btrim(`{value}`, {WHITESPACE_SQL})").filter("_line <> ''")
+    single = once(once(found, _wrapped=in_array("_line")), _single=is_single_value("_line", "_wrapped"))
+    record = "CASE WHEN _single AND startswith(_line, '{') THEN try_variant_get(_wrapped, '$[0]', 'variant') END"
     fields = once(
-        once(single, _record=F.when(is_object, F.try_variant_get(wrapped, "$[0]", "variant"))),
-        id=F.try_variant_get(record, "$.id", "string"),
-        id_value=field_variant(record, "id"),
-        metadata=field_variant(record, "metadata"),
-        digest=F.md5(line),
-        **{f"_{name}": field_variant(record, name) for name in texts},
-    )
-    typed = once(fields, **{name: text_value(F.col(f"_{name}")) for name in texts})
-    usable = (
-        F.col("instruction").isNotNull()
-        & F.col("input").isNotNull()
-        & F.col("output").isNotNull()
-        & F.coalesce(F.schema_of_variant("metadata").rlike("^(OBJECT<|VOID$)"), F.lit(True))
+        once(single, _record=record),
+        id=field("_record", "id", "string"),
+        id_value=field("_record", "id"),
+        metadata=field("_record", "metadata"),
+        digest="md5(_line)",
+        **{f"_{name}": field("_record", name) for name in texts},
     )
-    reason = (
-        F.when(~F.is_valid_utf8(line), "bad_encoding")
-        .when(~F.col("_single"), "malformed")
-        .when(record.isNull(), "not_object")
-        .when(~usable, "bad_type")
+    typed = once(
+        fields,
+        **{name: text_value(f"_{name}") for name in texts},
+        _usable="coalesce(schema_of_variant(metadata) RLIKE '^(OBJECT<|VOID$)', true)",
     )
+    reason = F.expr("""CASE
+        WHEN NOT is_valid_utf8(_line) THEN 'bad_encoding'
+        WHEN NOT _single THEN 'malformed'
+        WHEN _record IS NULL THEN 'not_object'
+        WHEN instruction IS NULL OR input IS NULL OR output IS NULL OR NOT _usable THEN 'bad_type'
+        END""")
     return typed.withColumn("reason", reason).select(*lines.columns, *RECORD_COLUMNS, "reason")
 
 
