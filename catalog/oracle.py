@@ -253,6 +253,8 @@ SELECT conv_id, turn, p AS prompt_tokens, n AS completion_tokens, (p + n)::BIGIN
        (sum(p + n) OVER (PARTITION BY conv_id ORDER BY turn))::BIGINT AS session_total
 FROM hist WHERE role = 'assistant'""",
     "pack_sequences": f"""WITH {ORDERED}
+SELECT block_id::BIGINT AS block_id, id, start::BIGINT AS start, place::BIGINT AS place, length::BIGINT AS length FROM cut""",
+    "pack_by_position": f"""WITH {ORDERED}
 SELECT block_id::BIGINT AS block_id, id, start::BIGINT AS start, place::BIGINT AS place, length::BIGINT AS length FROM cut""",
     "packed_blocks": f"""WITH {ORDERED},
 filled AS (SELECT block_id, place, words[start + 1 : start + length] AS part FROM cut)

@@ -19,7 +19,7 @@ from promptmill.sinks.writers import write_report
 from promptmill.sources import discovery
 from promptmill.sources import lines as src
 from promptmill.sources.chat import read_chat, read_prompts
-from promptmill.staging import scratch_dir
+from promptmill.staging import scratch_dir, stage
 
 SYSTEM = "Be brief."
 WANTED = "EN-Code, fr-general"
@@ -46,9 +46,17 @@ def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ordered_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training text in seeded order; only ids, counts and what the caller keeps travel."""
-    counted = chat.with_token_count(rendered(spark, sf_dir)).select("id", "n_tokens")
-    return order.seeded_order(counted, SEED)
+    """Ids and token counts of the training text in seeded order, with their running total.
+
+    The text is read and counted once; the order is made from the staged counts.
+    """
+    counted = stage(chat.with_token_count(rendered(spark, sf_dir)).select("id", "n_tokens"), "counts")
+    return in_packing_order(counted)
+
+
+def in_packing_order(counted: DataFrame) -> DataFrame:
+    sized = counted.withColumn("size", chat.packed_size())
+    return order.seeded_order(sized, SEED, digest=F.md5("id"), sums={"offset": "size"})
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,7 +273,7 @@ def token_length_profile(spark, sf_dir):
 
 
 def balance_categories(spark, sf_dir):
-    placed = order.seeded_order(views.records(spark, sf_dir).select("id", "category"), SEED)
+    placed = stage(order.seeded_order(views.records(spark, sf_dir).select("id", "category"), SEED), "placed")
     balanced = profile.balance_categories(placed, PER_CATEGORY)
     return balanced.select("id", "category", F.round("weight", 4).alias("weight"))
 
@@ -283,16 +291,16 @@ def conversation_usage(spark, sf_dir):
 
 
 def pack_sequences(spark, sf_dir):
-    pieces = chat.pack_sequences(ordered_text(spark, sf_dir), BLOCK)
+    pieces = chat.pack_sequences(ordered_text(spark, sf_dir), BLOCK, offset="offset")
     return pieces.select("block_id", "id", "start", "place", "length")
 
 
 def packed_blocks(spark, sf_dir):
     """Blocks of tokens, put together from the pieces."""
     words = rendered(spark, sf_dir).select("id", tokens(F.col("text")).alias("tokens"))
-    counted = words.withColumn("n_tokens", F.size("tokens").cast("bigint"))
-    placed = order.seeded_order(counted, SEED, digest=F.md5("id"))
-    blocks = chat.packed_blocks(chat.pack_sequences(placed, BLOCK))
+    counted = stage(words.withColumn("n_tokens", F.size("tokens").cast("bigint")), "tokens")
+    pieces = chat.pack_sequences(in_packing_order(counted), BLOCK, offset="offset")
+    blocks = chat.packed_blocks(pieces)
     return blocks.select(
         "block_id",
         "n_segments",
@@ -301,6 +309,12 @@ def packed_blocks(spark, sf_dir):
     )
 
 
+def pack_by_position(spark, sf_dir):
+    """The same pieces from positions alone, with the running total made from chunks."""
+    placed = stage(ordered_text(spark, sf_dir).select("id", "pos", "n_tokens"), "placed")
+    return chat.pack_sequences(placed, BLOCK).select("block_id", "id", "start", "place", "length")
+
+
 def packing_report(spark, sf_dir):
     counted = chat.with_token_count(rendered(spark, sf_dir)).select("n_tokens")
     return chat.packing_report(counted, BLOCK)
@@ -408,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "run_sizing": run_sizing,
     "conversation_usage": conversation_usage,
     "pack_sequences": pack_sequences,
+    "pack_by_position": pack_by_position,
     "packed_blocks": packed_blocks,
     "packing_report": packing_report,
     "training_shards": training_shards,

@@ -82,24 +82,34 @@ def truncate_tokens(df: DataFrame, max_seq_length: int = 2048, text: str = "text
     )
 
 
+def packed_size(n_tokens: str = "n_tokens", separator: int = 0) -> Column:
+    """Tokens an example takes up in the blocks; none if it is empty."""
+    n = F.col(n_tokens)
+    return F.when(n > 0, n + separator).otherwise(0).cast("bigint")
+
+
 def pack_sequences(
     df: DataFrame,
     length: int,
     order: str = "pos",
     n_tokens: str = "n_tokens",
     separator: int = 0,
+    offset: str | None = None,
     **options,
 ) -> DataFrame:
     """Lay examples end to end and cut the row of tokens into blocks of ``length``.
 
     One row per piece: ``block_id``, where the piece begins in the example
-    (``start``), where in the block (``place``) and its ``length``. Each example is
-    followed by ``separator`` extra tokens. Examples without tokens take no place.
+    (``start``), where in the block (``place``) and its ``length``. Each example
+    is followed by ``separator`` extra tokens. Examples without tokens take no
+    place. ``offset`` names the running total of :func:`packed_size` if ``df``
+    has it already, as ``order_records(sums=...)`` gives it.
     """
-    sized = df.withColumn("_size", (F.col(n_tokens) + separator).cast("bigint")).filter(
-        F.col(n_tokens) > 0
-    )
-    placed = running_totals(sized, [], order, {"_off": F.col("_size")}, **options)
+    sized = df.withColumn("_size", packed_size(n_tokens, separator)).filter(F.col("_size") > 0)
+    if offset:
+        placed = sized.withColumn("_off", F.col(offset))
+    else:
+        placed = running_totals(sized, [], order, {"_off": F.col("_size")}, **options)
     return placed.selectExpr(
         "*", f"explode(sequence(_off div {length}, (_off + _size - 1) div {length})) AS block_id"
     ).selectExpr(

@@ -38,6 +38,7 @@ def order_records(
     id_col: str = "id",
     digest: Column | None = None,
     limit: int | None = None,
+    sums: dict[str, str] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     hot_rows: int = HOT_ROWS,
 ) -> Ordered:
@@ -48,7 +49,8 @@ def order_records(
     bucket its first position and its task, so the records are shuffled once,
     into tasks of about ``rows_per_task`` records, ascending in ``pos``. With
     ``limit`` only the buckets that hold the first ``limit`` positions are
-    shuffled, and only those positions returned.
+    shuffled, and only those positions returned. ``sums`` maps new columns to
+    whole-number columns: each gets the total over all records placed before.
 
     Buckets over ``hot_rows`` (one id on very many records) take another way,
     see :func:`_hot_positions`.
@@ -58,26 +60,32 @@ def order_records(
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col), F.lit(""))))
     bucket = F.conv(F.substring(key, 1, PREFIX), 16, 10).cast("int")
 
-    counts = df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).toArrow().to_pandas().sort_values("b")
+    sums = sums or {}
+    totals = [F.coalesce(F.sum(F.col(c).cast("bigint")), F.lit(0)).alias(f"_sum_{name}") for name, c in sums.items()]
+    grouped = df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"), *totals)
+    counts = grouped.toArrow().to_pandas().sort_values("b")
     before = counts["n"].cumsum() - counts["n"]
     n = int(counts["n"].sum())
     kept = n if limit is None else min(n, limit)
     counts, before = counts[before < kept], before[before < kept]
     if counts.empty:
-        return Ordered(df.filter(F.lit(False)).withColumn("pos", F.lit(0).cast("bigint")), n)
+        zeros = {name: F.lit(0).cast("bigint") for name in ("pos", *sums)}
+        return Ordered(df.filter(F.lit(False)).withColumns(zeros), n)
 
     span = int(before.iloc[-1] + counts["n"].iloc[-1])
     tasks = _task_count(df, span, rows_per_task)
     hot = counts["n"] > max(hot_rows, 4 * n >> (4 * PREFIX))
-    places = pd.DataFrame({"_bucket": counts["b"], "_first": before, "_task": before * tasks // span})
+    places = pd.DataFrame({"_bucket": counts["b"], "_task": before * tasks // span, "_first": before})
+    for name in sums:
+        places[f"_sum_{name}"] = counts[f"_sum_{name}"].cumsum() - counts[f"_sum_{name}"]
 
     keyed = df.withColumns({"_key": key, "_bucket": bucket, "_digest": digest})
     positions = []
     if (~hot).any():
-        positions.append(_cold_positions(df, _placed(keyed, places[~hot]), tasks))
+        positions.append(_cold_positions(df, _placed(keyed, places[~hot]), tasks, sums))
     if hot.any():
         hot_tasks = _task_count(df, int(counts["n"][hot].sum()), rows_per_task)
-        positions.append(_hot_positions(df, _placed(keyed, places[hot]), hot_tasks))
+        positions.append(_hot_positions(df, _placed(keyed, places[hot]), hot_tasks, sums))
     out = positions[0] if len(positions) == 1 else positions[0].unionByName(positions[1])
     return Ordered(out if limit is None else out.filter(F.col("pos") < limit), n)
 
@@ -90,20 +98,31 @@ def _task_count(df: DataFrame, rows: int, rows_per_task: int) -> int:
 
 def _placed(keyed: DataFrame, places: pd.DataFrame) -> DataFrame:
     """Keep the records of the given buckets. The table has 65,536 rows at most."""
-    schema = pa.schema([("_bucket", pa.int32()), ("_first", pa.int64()), ("_task", pa.int32())])
+    kinds = {"_bucket": pa.int32(), "_task": pa.int32()}
+    schema = pa.schema([(c, kinds.get(c, pa.int64())) for c in places.columns])
     table = keyed.sparkSession.createDataFrame(pa.Table.from_pandas(places, schema, preserve_index=False))
     return keyed.join(F.broadcast(table), "_bucket")
 
 
-def _cold_positions(df: DataFrame, rows: DataFrame, tasks: int) -> DataFrame:
+def _before(window: WindowSpec, value: Column) -> Column:
+    """Sum over the rows of the window before this one."""
+    return F.coalesce(F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def _cold_positions(df: DataFrame, rows: DataFrame, tasks: int, sums: dict[str, str]) -> DataFrame:
     """Rank inside each bucket; ``_task`` rises with the bucket, so tasks are in ``pos`` order."""
     inside = Window.partitionBy("_task", "_bucket").orderBy("_key", "_digest")
     return rows.repartitionById(tasks, F.col("_task")).select(
-        *df.columns, (F.col("_first") + F.row_number().over(inside) - 1).alias("pos")
+        *df.columns,
+        (F.col("_first") + F.row_number().over(inside) - 1).alias("pos"),
+        *[
+            (F.col(f"_sum_{name}") + _before(inside, F.col(c).cast("bigint"))).alias(name)
+            for name, c in sums.items()
+        ],
     )
 
 
-def _hot_positions(df: DataFrame, rows: DataFrame, tasks: int) -> DataFrame:
+def _hot_positions(df: DataFrame, rows: DataFrame, tasks: int, sums: dict[str, str]) -> DataFrame:
     """Positions for buckets where one id stands on very many records.
 
     Equal records are interchangeable, so copies are first counted (before the
@@ -111,35 +130,37 @@ def _hot_positions(df: DataFrame, rows: DataFrame, tasks: int) -> DataFrame:
     prefix, and the sizes of the cuts give each its first position. Copies are
     written out again at the end, a bounded number per row and spread over tasks.
     """
+    # What each row adds to the position and to each sum, per copy.
+    steps = {"_first": F.lit(1)}
+    steps |= {f"_sum_{name}": F.coalesce(F.col(f"_row.`{c}`").cast("bigint"), F.lit(0)) for name, c in sums.items()}
     merged = (
-        rows.groupBy("_bucket", "_first", "_key", "_digest")
+        rows.groupBy("_bucket", "_key", "_digest", *steps)
         .agg(
             F.count("*").alias("_m"),
             F.any_value(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("_row"),
         )
         .withColumn("_cut", F.substring("_digest", 1, PREFIX))
+        .withColumns({f"_all{c}": F.col("_m") * step for c, step in steps.items()})
     )
     cut = ["_bucket", "_key", "_cut"]
-    sizes = merged.groupBy(*cut).agg(F.sum("_m").alias("_n"))
-    prior = (
-        Window.partitionBy("_bucket")
-        .orderBy("_key", "_cut")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    sizes = merged.groupBy(*cut).agg(*[F.sum(f"_all{c}").alias(f"_all{c}") for c in steps])
+    cuts = Window.partitionBy("_bucket").orderBy("_key", "_cut")
+    carry = sizes.select(*cut, *[_before(cuts, F.col(f"_all{c}")).alias(f"_prior{c}") for c in steps])
+
+    inside = Window.partitionBy(*cut).orderBy("_digest")
+    starts = [(F.col(c) + F.col(f"_prior{c}") + _before(inside, F.col(f"_all{c}"))).alias(c) for c in steps]
+    placed = merged.join(carry, cut).select("_row", "_m", *starts)
+
+    blocks = f"explode(sequence(0, (_m - 1) div {COPIES_PER_ROW})) AS _block"
+    last = f"least(_m, (_block + 1) * {COPIES_PER_ROW}) - 1"
+    copies = (
+        placed.selectExpr("*", blocks)
+        .repartition(tasks, "_first", "_block")
+        .selectExpr("*", f"explode(sequence(_block * {COPIES_PER_ROW}, {last})) AS _copy")
     )
-    carry = sizes.select(*cut, F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_prior"))
-
-    inside = Window.partitionBy(*cut).orderBy("_digest").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("_first") + F.col("_prior") + F.coalesce(F.sum("_m").over(inside), F.lit(0))
-    block = F.explode(F.sequence(F.lit(0), F.floor((F.col("_m") - 1) / COPIES_PER_ROW).cast("int")))
-    last = F.least(F.col("_m"), (F.col("_block") + 1) * F.lit(COPIES_PER_ROW)) - 1
-    copy = F.explode(F.sequence(F.col("_block") * F.lit(COPIES_PER_ROW).cast("bigint"), last))
-    return (
-        merged.join(carry, cut)
-        .select("_row", "_m", start.alias("_start"))
-        .select("_row", "_m", "_start", block.alias("_block"))
-        .repartition(tasks, "_start", "_block")
-        .select("_row", "_start", copy.alias("_copy"))
-        .select("_row.*", (F.col("_start") + F.col("_copy")).alias("pos"))
+    names = {"_first": "pos", **{f"_sum_{name}": name for name in sums}}
+    return copies.select(
+        "_row.*", *[(F.col(c) + F.col("_copy") * step).alias(names[c]) for c, step in steps.items()]
     )
 
 

@@ -26,13 +26,14 @@ def training_text(
     template: ChatTemplate = CHATML,
     counter: TokenCounter = estimate_tokens,
 ) -> DataFrame:
-    """``pos, text, n_tokens`` of one split, in seeded order, staged.
+    """``pos, text, n_tokens, offset`` of one split, in seeded order, staged.
 
-    Rendering and counting happen once, before the order is made.
+    Rendering and counting happen once, before the order is made. ``offset`` is
+    the number of tokens before the example, ready for packing.
     """
     rendered = select_text(render_chat(chat.filter(F.col("split") == split), template), keep=())
     counted = stage(with_token_count(rendered, counter=counter), "text")
-    ordered = seeded_order(counted, seed, id_col="text", digest=F.md5("text"))
+    ordered = seeded_order(counted, seed, id_col="text", digest=F.md5("text"), sums={"offset": "n_tokens"})
     return stage(ordered, "ordered-text")
 
 

@@ -203,7 +203,7 @@ def test_write_chat_round_trip(spark, tmp_path):
 def test_training_shards(spark, tmp_path):
     line = [json.dumps({"messages": [{"role": "user", "content": f"q {i % 30}"}]}) for i in range(90)]
     text = training_text(read_chat(spark, write_lines(tmp_path / "t.jsonl", line)))
-    assert sorted(r.pos for r in text.collect()) == list(range(90))
+    assert sorted((r.pos, r.offset) for r in text.collect()) == [(i, 2 * i + i) for i in range(90)]
     write_training_shards(text, str(tmp_path / "s"), 3, files_per_rank=2)
     back = spark.read.json(str(tmp_path / "s"))
     assert {r["rank"]: r["count"] for r in back.groupBy("rank").count().collect()} == {0: 30, 1: 30, 2: 30}

@@ -1,5 +1,6 @@
 import hashlib
 import random
+from itertools import accumulate
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,15 +66,19 @@ def skewed(n, rng):
 def test_hot_ids_and_copies(spark, monkeypatch, hot_rows, copies_per_row):
     monkeypatch.setattr(order, "COPIES_PER_ROW", copies_per_row)
     rows = skewed(2000, random.Random(3))
-    df = spark.createDataFrame(rows, "id string, text string")
+    df = spark.createDataFrame(rows, "id string, text string").withColumn("v", F.length("text"))
     digest = F.md5(F.concat_ws("|", F.coalesce("id", F.lit("-")), "text"))
-    got = sorted((r.pos, r.id, r.text) for r in seeded_order(df, 42, digest=digest, hot_rows=hot_rows, rows_per_task=300).collect())
+    placed = seeded_order(
+        df, 42, digest=digest, sums={"before": "v"}, hot_rows=hot_rows, rows_per_task=300
+    ).orderBy("pos").collect()
+    got = [(r.pos, r.id, r.text) for r in placed]
 
     def key(r):
         return h(42, r[0]), hashlib.md5(f"{'-' if r[0] is None else r[0]}|{r[1]}".encode()).hexdigest()
 
     want = [(i, *r) for i, r in enumerate(sorted(rows, key=key))]
     assert got == want
+    assert [r.before for r in placed] == list(accumulate((r.v for r in placed[:-1]), initial=0))
 
 
 def test_default_digest_makes_a_total_order(spark):
