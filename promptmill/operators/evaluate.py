@@ -12,6 +12,18 @@ from promptmill.operators.chat import CHATML, ChatTemplate, TokenCounter, chat_t
 from promptmill.operators.records import SYSTEM_PROMPT, prompt_messages
 
 
+def unique_by(df: DataFrame, key: str, what: str) -> DataFrame:
+    """``df`` as it is, failing the query if two rows share ``key``.
+
+    Rows are combined before the shuffle, so that a key repeated very often is
+    reported and not gathered.
+    """
+    rest = [c for c in df.columns if c != key]
+    checked = df.groupBy(key).agg(F.count("*").alias("_n"), *[F.any_value(c).alias(c) for c in rest])
+    repeated = F.raise_error(F.concat(F.lit(f"{what} repeats: "), F.col(key)))
+    return checked.select(F.when(F.col("_n") == 1, F.col(key)).otherwise(repeated).alias(key), *rest)
+
+
 def eval_results(
     prompts: DataFrame,
     responses: DataFrame,
@@ -21,13 +33,15 @@ def eval_results(
 ) -> DataFrame:
     """Attach each prompt to its responses, with prompt and completion token counts.
 
-    ``prompts``: ``ord, id, category, prompt``; ``responses``: ``id, response`` and
-    whatever else tells runs apart. The prompt is rendered and counted once per
-    prompt, before the join; prompts without a response stay with NULLs.
+    ``prompts``: ``ord, id, category, prompt``, each id once; ``responses``:
+    ``id, response`` and whatever else tells runs apart. The prompt is rendered
+    and counted once per prompt, before the join; prompts without a response
+    stay with NULLs.
     """
     rendered = chat_text(F.col("messages"), template, add_generation_prompt=True)
+    asked = unique_by(prompts.select("ord", "id", "category", "prompt"), "id", "prompt id")
     counted = (
-        prompt_messages(prompts.select("ord", "id", "category", "prompt"), system_prompt)
+        prompt_messages(asked, system_prompt)
         .withColumn("prompt_tokens", counter(rendered).cast("bigint"))
         .drop("messages")
     )
@@ -70,23 +84,41 @@ def eval_report(results: DataFrame, keep: tuple[str, ...] = ("run",)) -> DataFra
 def compare_runs(before: DataFrame, after: DataFrame, on: list[str] | None = None) -> DataFrame:
     """What changed per prompt between two result tables.
 
-    ``on`` names the columns that identify a result within a run (default ``id``).
-    Status is ``added``, ``removed``, ``changed`` or ``same``; the token delta is
-    completion tokens after minus before, NULL where one side is missing.
+    ``on`` names the columns that identify a result within a run (default ``id``);
+    a repeated result is an error. Status is ``added``, ``removed``, ``changed``
+    or ``same``; the token delta is completion tokens after minus before, NULL
+    where one side is missing.
+
+    Both tables are put under each other and combined per key, which takes one
+    shuffle and never pairs up repeated keys.
     """
     keys = on or ["id"]
-    a = before.select(*keys, F.col("response").alias("_a"), F.col("completion_tokens").alias("_at"), F.lit(True).alias("_ina"))
-    b = after.select(*keys, F.col("response").alias("_b"), F.col("completion_tokens").alias("_bt"), F.lit(True).alias("_inb"))
-    status = (
-        F.when(F.col("_ina").isNull(), "added")
-        .when(F.col("_inb").isNull(), "removed")
-        .when(F.col("_a").eqNullSafe(F.col("_b")), "same")
-        .otherwise("changed")
+    sides = [
+        df.select(*keys, F.lit(i).alias("_side"), F.struct("response", "completion_tokens").alias("_result"))
+        for i, df in enumerate((before, after))
+    ]
+    side = F.col("_side")
+    both = (
+        sides[0]
+        .unionByName(sides[1])
+        .groupBy(*keys)
+        .agg(
+            *[F.count_if(side == i).alias(f"_n{i}") for i in (0, 1)],
+            *[F.any_value(F.when(side == i, F.col("_result")), ignoreNulls=True).alias(f"_r{i}") for i in (0, 1)],
+        )
+    )
+    status = F.expr(
+        """CASE
+        WHEN _n0 > 1 OR _n1 > 1 THEN raise_error('a result repeats within a run')
+        WHEN _n0 = 0 THEN 'added'
+        WHEN _n1 = 0 THEN 'removed'
+        WHEN _r0.response <=> _r1.response THEN 'same'
+        ELSE 'changed' END"""
     )
-    return a.join(b, keys, "full_outer").select(
+    return both.select(
         *keys,
-        F.col("_a").alias("before"),
-        F.col("_b").alias("after"),
+        F.col("_r0.response").alias("before"),
+        F.col("_r1.response").alias("after"),
         status.alias("status"),
-        (F.col("_bt") - F.col("_at")).alias("delta_tokens"),
+        F.expr("_r1.completion_tokens - _r0.completion_tokens").alias("delta_tokens"),
     )

@@ -132,13 +132,10 @@ def _hot_positions(df: DataFrame, rows: DataFrame, tasks: int, sums: dict[str, s
     """
     # What each row adds to the position and to each sum, per copy.
     steps = {"_first": F.lit(1)}
-    steps |= {f"_sum_{name}": F.coalesce(F.col(f"_row.`{c}`").cast("bigint"), F.lit(0)) for name, c in sums.items()}
+    steps |= {f"_sum_{name}": F.coalesce(F.col(f"`{c}`").cast("bigint"), F.lit(0)) for name, c in sums.items()}
     merged = (
         rows.groupBy("_bucket", "_key", "_digest", *steps)
-        .agg(
-            F.count("*").alias("_m"),
-            F.any_value(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("_row"),
-        )
+        .agg(F.count("*").alias("_m"), *[F.any_value(F.col(f"`{c}`")).alias(c) for c in df.columns])
         .withColumn("_cut", F.substring("_digest", 1, PREFIX))
         .withColumns({f"_all{c}": F.col("_m") * step for c, step in steps.items()})
     )
@@ -149,7 +146,7 @@ def _hot_positions(df: DataFrame, rows: DataFrame, tasks: int, sums: dict[str, s
 
     inside = Window.partitionBy(*cut).orderBy("_digest")
     starts = [(F.col(c) + F.col(f"_prior{c}") + _before(inside, F.col(f"_all{c}"))).alias(c) for c in steps]
-    placed = merged.join(carry, cut).select("_row", "_m", *starts)
+    placed = merged.join(carry, cut).select(*df.columns, "_m", *starts)
 
     blocks = f"explode(sequence(0, (_m - 1) div {COPIES_PER_ROW})) AS _block"
     last = f"least(_m, (_block + 1) * {COPIES_PER_ROW}) - 1"
@@ -160,7 +157,7 @@ def _hot_positions(df: DataFrame, rows: DataFrame, tasks: int, sums: dict[str, s
     )
     names = {"_first": "pos", **{f"_sum_{name}": name for name in sums}}
     return copies.select(
-        "_row.*", *[(F.col(c) + F.col("_copy") * step).alias(names[c]) for c, step in steps.items()]
+        *df.columns, *[(F.col(c) + F.col("_copy") * step).alias(names[c]) for c, step in steps.items()]
     )
 
 

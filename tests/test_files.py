@@ -257,6 +257,16 @@ def test_compare(spark):
     }
 
 
+def test_repeated_ids_are_an_error(spark):
+    results = evaluation(spark).filter("run = 'a'")
+    with pytest.raises(Exception, match="repeats within a run"):
+        compare_runs(results.union(results), results).collect()
+    prompts = spark.createDataFrame([(0, "p", "c", "x"), (1, "p", "c", "y")], "ord bigint, id string, category string, prompt string")
+    answers = spark.createDataFrame([("p", "z")], "id string, response string")
+    with pytest.raises(Exception, match="prompt id repeats: p"):
+        eval_results(prompts, answers).collect()
+
+
 def test_render(spark):
     df = spark.createDataFrame([([("user", "a"), ("assistant", "b")],)], "messages array<struct<role:string,content:string>>")
     text = "<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\nb<|im_end|>\n"
