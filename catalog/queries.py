@@ -29,6 +29,7 @@ MAX_LEN = 512
 BLOCK = 256
 PER_CATEGORY = 5
 WORLD = 4
+PROMPTS_PER_FILE = 50
 EPOCHS, PER_DEVICE, ACCUMULATION = 3, 1, 8
 
 REPORT_TIME = datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
@@ -135,14 +136,17 @@ def read_chat_splits(spark, sf_dir):
     return split_sizes(read_chat(spark, f"{root}/attached/train.jsonl", f"{root}/attached/val.jsonl"))
 
 
-def read_prompt_array(spark, sf_dir):
-    """Prompts written as one JSON array, in ``ord`` order, and read back."""
+def read_prompt_arrays(spark, sf_dir):
+    """Prompts written as JSON arrays of 50, one file each, and read back in order."""
     path = scratch_dir(spark, "prompts")
     item = F.struct("ord", F.to_json(F.struct("id", "category", "prompt")).alias("text"))
-    array = views.prompts(spark, sf_dir).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    text = F.concat(F.lit("["), F.array_join(F.transform("items", lambda i: i["text"]), ",\n"), F.lit("]"))
-    array.select(text).write.text(path)
-    return read_prompts(spark, path)
+    arrays = views.prompts(spark, sf_dir).groupBy(F.expr(f"ord div {PROMPTS_PER_FILE}").alias("part"))
+    items = F.transform(F.array_sort(F.collect_list(item)), lambda i: i["text"])
+    text = F.concat(F.lit("["), F.array_join(items, ",\n"), F.lit("]")).alias("value")
+    arrays.agg(text).write.partitionBy("part").text(path)
+    part = F.regexp_extract("file", "part=([0-9]+)", 1).cast("bigint")
+    prompts = read_prompts(spark, path, with_file=True)
+    return prompts.withColumn("ord", part * PROMPTS_PER_FILE + F.col("ord")).drop("file")
 
 
 # Records
@@ -394,7 +398,7 @@ QUERIES: dict[str, Query] = {
     "discover_sources": discover_sources,
     "resolve_split": resolve_split,
     "read_chat": read_chat_splits,
-    "read_prompts": read_prompt_array,
+    "read_prompts": read_prompt_arrays,
     "require_fields": require_fields,
     "filter_category": filter_category,
     "compose_user": compose_user,

@@ -13,7 +13,7 @@ from promptmill.operators.evaluate import compare_runs, eval_report, eval_result
 from promptmill.operators.profile import top_categories
 from promptmill.operators.records import SYSTEM_PROMPT
 from promptmill.plans import PrepareConfig, prepare_files, training_text, write_training_shards
-from promptmill.sinks import write_report
+from promptmill.sinks import ROWS_PER_FILE, write_report
 from promptmill.sources.chat import read_chat, read_prompts
 
 
@@ -30,14 +30,13 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--category_filter")
     p.add_argument("--max_examples", type=int)
     p.add_argument("--seed", type=int, default=PrepareConfig.seed)
-    p.add_argument("--line_numbers", action="store_true", help="number the quarantined lines")
     p.add_argument("--ordered", action="store_true", help="write files in seeded order")
 
     p = sub.add_parser("text", help="chat JSONL to rendered training text per worker")
     p.add_argument("--train_file", required=True)
     p.add_argument("--output_dir", required=True)
     p.add_argument("--world_size", type=int, default=1)
-    p.add_argument("--files_per_rank", type=int, default=1)
+    p.add_argument("--rows_per_file", type=int, default=ROWS_PER_FILE)
     p.add_argument("--seed", type=int, default=42)
 
     p = sub.add_parser("report", help="prompts and responses to a Markdown report")
@@ -71,15 +70,13 @@ def main(argv: list[str] | None = None) -> None:
         config = PrepareConfig(
             args.val_split, args.system_prompt, args.category_filter, args.max_examples, args.seed
         )
-        done = prepare_files(
-            spark, args.output_dir, args.input, args.input_root, config, args.line_numbers, args.ordered
-        )
+        done = prepare_files(spark, args.output_dir, args.input, args.input_root, config, args.ordered)
         done.counters.show()
         top_categories(done.categories).show(truncate=False)
         done.quarantine.drop("value").show(truncate=False)
     elif args.command == "text":
         text = training_text(read_chat(spark, args.train_file), seed=args.seed)
-        write_training_shards(text, args.output_dir, args.world_size, args.files_per_rank)
+        write_training_shards(text, args.output_dir, args.world_size, args.rows_per_file)
     elif args.command == "report":
         table = results(spark, args.prompts_file, args.responses, args.system_prompt)
         now = datetime.now(timezone.utc)

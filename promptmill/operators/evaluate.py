@@ -36,7 +36,9 @@ def eval_results(
     ``prompts``: ``ord, id, category, prompt``, each id once; ``responses``:
     ``id, response`` and whatever else tells runs apart. The prompt is rendered
     and counted once per prompt, before the join; prompts without a response
-    stay with NULLs.
+    stay with NULLs. They are added by a separate anti join, which leaves the
+    join with the responses an inner one: either side of that can be broadcast,
+    or split where one prompt has very many responses.
     """
     rendered = chat_text(F.col("messages"), template, add_generation_prompt=True)
     asked = unique_by(prompts.select("ord", "id", "category", "prompt"), "id", "prompt id")
@@ -46,7 +48,8 @@ def eval_results(
         .drop("messages")
     )
     answered = responses.withColumn("completion_tokens", counter(F.col("response")).cast("bigint"))
-    return counted.join(answered, "id", "left")
+    silent = counted.join(responses.select("id").distinct(), "id", "left_anti")
+    return counted.join(answered, "id").unionByName(silent, allowMissingColumns=True)
 
 
 # Layout of the report, one header and one section per result.

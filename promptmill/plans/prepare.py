@@ -19,7 +19,7 @@ from promptmill.operators.records import (
 )
 from promptmill.sinks.writers import write_chat, write_sidecar
 from promptmill.sources.discovery import discover_sources
-from promptmill.sources.lines import accepted, quarantine, read_lines, tag_lines
+from promptmill.sources.lines import PLACE, accepted, quarantine, read_lines, tag_lines
 from promptmill.staging import stage
 
 
@@ -56,7 +56,7 @@ def prepare(lines: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepar
     once, so that every output is a scan of the columns it needs.
     """
     cap = check_cap(config.max_examples)
-    tagged = tag_lines(lines)
+    tagged = tag_lines(lines, keep_blank=set(PLACE) <= set(lines.columns))
     raw = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
     parsed = stage(tagged.select(raw, *[c for c in tagged.columns if c != "value"]), "parsed")
     kept = filter_category(accepted(parsed), config.category_filter, category_key())
@@ -86,7 +86,7 @@ def run_counters(parsed: DataFrame, records: DataFrame, category_filter: str | N
     read = parsed.agg(
         F.count_if(good).alias("loaded"),
         F.count_if(F.col("reason") == "malformed").alias("malformed"),
-        F.count_if(~good & (F.col("reason") != "malformed")).alias("unusable"),
+        F.count_if(~F.col("reason").isin("malformed", "blank")).alias("unusable"),
         F.count_if(chosen).alias("kept"),
     )
     written = F.col("written")
@@ -106,7 +106,6 @@ def prepare_files(
     input: str | None = None,
     input_root: str | None = None,
     config: PrepareConfig = PrepareConfig(),
-    line_numbers: bool = False,
     ordered: bool = False,
 ) -> Prepared:
     """Read ``input`` (or the one data file below ``input_root``) and write the three outputs."""
@@ -114,7 +113,7 @@ def prepare_files(
         if input_root is None:
             raise ValueError("give an input path, or a folder to look in")
         input = discover_sources(spark, input_root)
-    result = prepare(read_lines(spark, input, line_numbers), config)
+    result = prepare(read_lines(spark, input), config)
     root = output_dir.rstrip("/")
     write_chat(result.split("train"), f"{root}/train.jsonl", ordered)
     write_chat(result.split("val"), f"{root}/val.jsonl", ordered)

@@ -15,7 +15,7 @@ from promptmill.operators.chat import (
     with_token_count,
 )
 from promptmill.operators.order import assign_shards, seeded_order
-from promptmill.sinks.writers import write_shards
+from promptmill.sinks.writers import ROWS_PER_FILE, write_shards
 from promptmill.staging import stage
 
 
@@ -37,6 +37,8 @@ def training_text(
     return stage(ordered, "ordered-text")
 
 
-def write_training_shards(text: DataFrame, path: str, world_size: int, files_per_rank: int = 1) -> None:
+def write_training_shards(
+    text: DataFrame, path: str, world_size: int, rows_per_file: int = ROWS_PER_FILE
+) -> None:
     """Write each worker's share of the ordered text."""
-    write_shards(assign_shards(text, world_size), path, files_per_rank)
+    write_shards(assign_shards(text, world_size), path, rows_per_file)

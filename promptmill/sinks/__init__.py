@@ -1,5 +1,12 @@
 """Writers for chat lines, their sidecar, shards and reports."""
 
-from promptmill.sinks.writers import report_name, write_chat, write_report, write_shards, write_sidecar
+from promptmill.sinks.writers import (
+    ROWS_PER_FILE,
+    report_name,
+    write_chat,
+    write_report,
+    write_shards,
+    write_sidecar,
+)
 
-__all__ = ["report_name", "write_chat", "write_report", "write_shards", "write_sidecar"]
+__all__ = ["ROWS_PER_FILE", "report_name", "write_chat", "write_report", "write_shards", "write_sidecar"]

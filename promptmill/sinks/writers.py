@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from promptmill.operators.evaluate import report_header
 
+ROWS_PER_FILE = 500_000
+
 
 def _in_order(df: DataFrame, ordered: bool) -> DataFrame:
     """Sort by ``pos`` across part files, at the price of a shuffle."""
@@ -36,14 +38,18 @@ def write_sidecar(df: DataFrame, path: str, ordered: bool = False, with_pos: boo
     lines.write.mode("overwrite").text(path)
 
 
-def write_shards(df: DataFrame, path: str, files_per_rank: int = 1) -> None:
+def write_shards(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Text of each worker below ``rank=<r>``, in ``pos`` order within a file.
 
-    ``files_per_rank`` spreads one rank over several tasks and files.
+    A worker's share is cut after every ``rows_per_file`` examples, and the cuts
+    are spread over tasks.
     """
-    spread = F.pmod(F.xxhash64("pos"), F.lit(files_per_rank))
+    ranks = df.groupBy("rank").agg(F.max("pos").alias("last"))
+    world, last = ranks.agg(F.count("*"), F.max("last")).first()
+    cut = F.expr(f"pos div {rows_per_file * max(world, 1)}")
+    tasks = max(world, 1) * (1 + (last or 0) // (rows_per_file * max(world, 1)))
     (
-        df.repartition("rank", spread)
+        df.repartition(tasks, "rank", cut)
         .sortWithinPartitions("rank", "pos")
         .select("rank", F.to_json(F.struct("pos", "text")).alias("value"))
         .write.mode("overwrite")

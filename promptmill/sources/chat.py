@@ -19,16 +19,18 @@ def read_chat(spark: SparkSession, train: str, validation: str | None = None) ->
     return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
 
-def read_prompts(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of prompts as ``ord, id, category, prompt``, in file order.
+def read_prompts(spark: SparkSession, path: str, with_file: bool = False) -> DataFrame:
+    """JSON arrays of prompts as ``ord, id, category, prompt``, in file order.
 
-    An array is one document, so one task reads it.
+    An array is one document, so one task reads it; a large prompt set is several
+    files, told apart by ``file`` on request.
     """
     items = F.from_json(
         "value", "array<struct<id:string,category:string,prompt:string>>", {"mode": "FAILFAST"}
     )
+    file = [F.col("_metadata.file_path").alias("file")] if with_file else []
     return (
         spark.read.text(path, wholetext=True)
-        .select(F.posexplode(items).alias("ord", "item"))
-        .select(F.col("ord").cast("bigint"), "item.*")
+        .select(*file, F.posexplode(items).alias("ord", "item"))
+        .select(*["file"][: len(file)], F.col("ord").cast("bigint"), "item.*")
     )

@@ -11,28 +11,44 @@ from promptmill.functions.text import WHITESPACE_SQL
 RECORD_COLUMNS = ["id", "id_value", "instruction", "input", "output", "metadata", "digest"]
 
 
-def read_lines(spark: SparkSession, path: str | list[str], line_numbers: bool = False) -> DataFrame:
-    """Lines of text files as ``file, value``, with ``line_no`` on request."""
-    source = spark.read.text(path)
-    file = F.col("_metadata.file_path").alias("file")
-    if not line_numbers:
-        return source.select(file, "value")
-
-    # A split is read by one task in file order, so the running id counts lines
-    # within it; the line counts of a file's earlier splits do the rest.
-    rows = source.select(
-        file,
-        F.col("_metadata.file_block_start").alias("_block"),
+# Where a line stands: file, start of the split it was read in, running id within the split.
+PLACE = ["file", "split_start", "row"]
+
+
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines of text files as ``file, split_start, row, value``.
+
+    One task reads a split in file order, so ``row`` counts up along it;
+    :func:`number_lines` makes line numbers from that.
+    """
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+        F.monotonically_increasing_id().alias("row"),
         "value",
-        F.monotonically_increasing_id().alias("_row"),
     )
-    splits = rows.groupBy("file", "_block").agg(
-        F.count("*").alias("_lines"), F.min("_row").alias("_first")
+
+
+def number_lines(rows: DataFrame, every_line: DataFrame) -> DataFrame:
+    """Add ``line_no`` to ``rows``, some of the lines of ``every_line``.
+
+    A line's number is the lines in the file's earlier splits, plus its place in
+    its own. Both must come from one staged copy of the lines, so that the splits
+    are the same.
+    """
+    splits = every_line.groupBy("file", "split_start").agg(
+        F.count("*").alias("_lines"), F.min("row").alias("_first")
+    )
+    offsets = splits.selectExpr(
+        "file",
+        "split_start",
+        """coalesce(sum(_lines) OVER (PARTITION BY file ORDER BY split_start
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) - _first + 1 AS _shift""",
     )
-    earlier = F.expr("sum(_lines) OVER (PARTITION BY file ORDER BY _block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-    offsets = splits.select("file", "_block", "_first", F.coalesce(earlier, F.lit(0)).alias("_before"))
-    return rows.join(offsets, ["file", "_block"]).select(
-        "file", "value", (F.col("_before") + F.col("_row") - F.col("_first") + 1).alias("line_no")
+    return (
+        rows.join(offsets, ["file", "split_start"])
+        .withColumn("line_no", F.col("row") + F.col("_shift"))
+        .drop("split_start", "row", "_shift")
     )
 
 
@@ -52,16 +68,18 @@ def is_single_value(line: str, wrapped: str) -> str:
         AND CASE WHEN contains({line}, ']') THEN {in_object} IS NOT NULL ELSE true END"""
 
 
-def tag_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+def tag_lines(lines: DataFrame, value: str = "value", keep_blank: bool = False) -> DataFrame:
     """Parse every non-blank line once and say why it was rejected, if it was.
 
     Adds ``id, id_value, instruction, input, output, metadata, digest`` and
     ``reason``: NULL for a good record, else ``bad_encoding``, ``malformed``,
-    ``not_object`` or ``bad_type``.
+    ``not_object`` or ``bad_type``. With ``keep_blank`` blank lines stay, as
+    ``blank``, so that lines can be numbered.
     """
     configure(lines.sparkSession)
     texts = ["instruction", "input", "output"]
-    found = once(lines, _line=f"btrim(`{value}`, {WHITESPACE_SQL})").filter("_line <> ''")
+    found = once(lines, _line=f"btrim(`{value}`, {WHITESPACE_SQL})")
+    found = found if keep_blank else found.filter("_line <> ''")
     single = once(once(found, _wrapped=in_array("_line")), _single=is_single_value("_line", "_wrapped"))
     record = "CASE WHEN _single AND startswith(_line, '{') THEN try_variant_get(_wrapped, '$[0]', 'variant') END"
     fields = once(
@@ -78,6 +96,7 @@ def tag_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         _usable="coalesce(schema_of_variant(metadata) RLIKE '^(OBJECT<|VOID$)', true)",
     )
     reason = F.expr("""CASE
+        WHEN _line = '' THEN 'blank'
         WHEN NOT is_valid_utf8(_line) THEN 'bad_encoding'
         WHEN NOT _single THEN 'malformed'
         WHEN _record IS NULL THEN 'not_object'
@@ -92,9 +111,12 @@ def accepted(tagged: DataFrame) -> DataFrame:
 
 
 def quarantine(tagged: DataFrame, value: str = "value") -> DataFrame:
-    """The rejected lines: where they came from, the raw text, and why."""
-    where = [c for c in ("file", "line_no") if c in tagged.columns]
-    return tagged.filter(F.col("reason").isNotNull()).select(*where, value, "reason")
+    """The rejected lines: raw text and reason, with file and line number if ``tagged`` has all lines of files."""
+    rejected = tagged.filter("reason <> 'blank'")
+    if set(PLACE) <= set(tagged.columns):
+        rejected = number_lines(rejected.select(*PLACE, value, "reason"), tagged.select(*PLACE))
+        return rejected.select("file", "line_no", value, "reason")
+    return rejected.select(*[c for c in ("file",) if c in tagged.columns], value, "reason")
 
 
 def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:

@@ -40,18 +40,21 @@ def test_line_ends(spark, tmp_path):
 
 
 def test_line_numbers_across_splits(spark, tmp_path):
-    rows = [("" if i % 5 == 0 else f"line {i}") for i in range(1, 3001)]
-    write_lines(tmp_path / "a.txt", rows)
-    write_lines(tmp_path / "b.txt", ["x", "y"])
+    rows = ["" if i % 5 == 0 else f"{{bad {i}" if i % 3 == 0 else '{"instruction":"a"}' for i in range(1, 3001)]
+    write_lines(tmp_path / "in" / "a.txt", rows)
+    write_lines(tmp_path / "in" / "b.txt", ["{}", "{bad b"])
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
     try:
-        lines = read_lines(spark, str(tmp_path), line_numbers=True)
+        lines = read_lines(spark, str(tmp_path / "in"))
         assert lines.rdd.getNumPartitions() > 3
-        got = {(r.file.rsplit("/", 1)[-1], r.line_no): r.value for r in lines.collect()}
+        done = prepare(lines)
+        got = {(r.file.rsplit("/", 1)[-1], r.line_no): r.value for r in done.quarantine.collect()}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert got == {**{("a.txt", i): v for i, v in enumerate(rows, 1)}, ("b.txt", 1): "x", ("b.txt", 2): "y"}
+    assert got == {**{("a.txt", i): v for i, v in enumerate(rows, 1) if "bad" in v}, ("b.txt", 2): "{bad b"}
+    c = done.counters.first()
+    assert (c.loaded, c.malformed, c.unusable) == (sum("instr" in v for v in rows) + 1, len(got), 0)
 
 
 GOOD = json.dumps({"instruction": "a", "output": "b"})
@@ -139,7 +142,7 @@ def test_prepare_files(spark, tmp_path):
     rows = records(100) + ["{bad", "[1]", "", json.dumps({"messages": []}), {"instruction": "x", "output": "y"}]
     source = write_lines(tmp_path / "in" / "data.jsonl", rows)
     out = str(tmp_path / "out")
-    done = prepare_files(spark, out, source, config=PrepareConfig(system_prompt=""), line_numbers=True, ordered=True)
+    done = prepare_files(spark, out, source, config=PrepareConfig(system_prompt=""), ordered=True)
     c = done.counters.first()
     assert (c.loaded, c.malformed, c.unusable, c.kept) == (102, 1, 1, 102)
     assert c.train + c.val + c.skipped == 102
@@ -204,7 +207,7 @@ def test_training_shards(spark, tmp_path):
     line = [json.dumps({"messages": [{"role": "user", "content": f"q {i % 30}"}]}) for i in range(90)]
     text = training_text(read_chat(spark, write_lines(tmp_path / "t.jsonl", line)))
     assert sorted((r.pos, r.offset) for r in text.collect()) == [(i, 2 * i + i) for i in range(90)]
-    write_training_shards(text, str(tmp_path / "s"), 3, files_per_rank=2)
+    write_training_shards(text, str(tmp_path / "s"), 3, rows_per_file=10)
     back = spark.read.json(str(tmp_path / "s"))
     assert {r["rank"]: r["count"] for r in back.groupBy("rank").count().collect()} == {0: 30, 1: 30, 2: 30}
     assert back.filter("pos % 3 <> rank").count() == 0
