@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 PREFIX = 4  # hex digits of the hash that name a bucket: 65,536 buckets at most
 ROWS_PER_TASK = 500_000
+BYTES_PER_TASK = 256 << 20
 HOT_ROWS = 1_000_000
 COPIES_PER_ROW = 100_000
 
@@ -39,7 +41,9 @@ def order_records(
     digest: Column | None = None,
     limit: int | None = None,
     sums: dict[str, str] | None = None,
+    size: str | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    bytes_per_task: int = BYTES_PER_TASK,
     hot_rows: int = HOT_ROWS,
 ) -> Ordered:
     """Rank all records by ``md5(seed:id)``, then by a digest of the whole record.
@@ -47,8 +51,9 @@ def order_records(
     The order depends on the content alone, not on partitioning. One narrow pass
     counts the records per hash prefix; those counts (65,536 at most) give each
     bucket its first position and its task, so the records are shuffled once,
-    into tasks of about ``rows_per_task`` records, ascending in ``pos``. With
-    ``limit`` only the buckets that hold the first ``limit`` positions are
+    into tasks of about ``rows_per_task`` records, ascending in ``pos``, or of
+    about ``bytes_per_task`` if ``size`` names a column with the bytes of a record.
+    With ``limit`` only the buckets that hold the first ``limit`` positions are
     shuffled, and only those positions returned. ``sums`` maps new columns to
     whole-number columns: each gets the total over all records placed before.
 
@@ -61,8 +66,11 @@ def order_records(
     bucket = F.conv(F.substring(key, 1, PREFIX), 16, 10).cast("int")
 
     sums = sums or {}
-    totals = [F.coalesce(F.sum(F.col(c).cast("bigint")), F.lit(0)).alias(f"_sum_{name}") for name, c in sums.items()]
-    grouped = df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"), *totals)
+    totals = {f"_sum_{name}": c for name, c in sums.items()} | ({"size": size} if size else {})
+    grouped = df.groupBy(bucket.alias("b")).agg(
+        F.count("*").alias("n"),
+        *[F.coalesce(F.sum(F.col(c).cast("bigint")), F.lit(0)).alias(name) for name, c in totals.items()],
+    )
     counts = grouped.toArrow().to_pandas().sort_values("b")
     before = counts["n"].cumsum() - counts["n"]
     n = int(counts["n"].sum())
@@ -72,28 +80,32 @@ def order_records(
         zeros = {name: F.lit(0).cast("bigint") for name in ("pos", *sums)}
         return Ordered(df.filter(F.lit(False)).withColumns(zeros), n)
 
-    span = int(before.iloc[-1] + counts["n"].iloc[-1])
-    tasks = _task_count(df, span, rows_per_task)
     hot = counts["n"] > max(hot_rows, 4 * n >> (4 * PREFIX))
-    places = pd.DataFrame({"_bucket": counts["b"], "_task": before * tasks // span, "_first": before})
+    weight, per_task = (counts["size"], bytes_per_task) if size else (counts["n"], rows_per_task)
+    cold_tasks, hot_tasks = (
+        _task_count(df, int(counts["n"][part].sum()), int(weight[part].sum()) / per_task)
+        for part in (~hot, hot)
+    )
+    filled = weight.where(~hot, 0).cumsum() / max(int(weight[~hot].sum()), 1)
+    task = (filled.shift(fill_value=0) * cold_tasks).astype("int64").clip(upper=cold_tasks - 1)
+    places = pd.DataFrame({"_bucket": counts["b"], "_task": task, "_first": before})
     for name in sums:
         places[f"_sum_{name}"] = counts[f"_sum_{name}"].cumsum() - counts[f"_sum_{name}"]
 
     keyed = df.withColumns({"_key": key, "_bucket": bucket, "_digest": digest})
     positions = []
     if (~hot).any():
-        positions.append(_cold_positions(df, _placed(keyed, places[~hot]), tasks, sums))
+        positions.append(_cold_positions(df, _placed(keyed, places[~hot]), cold_tasks, sums))
     if hot.any():
-        hot_tasks = _task_count(df, int(counts["n"][hot].sum()), rows_per_task)
         positions.append(_hot_positions(df, _placed(keyed, places[hot]), hot_tasks, sums))
     out = positions[0] if len(positions) == 1 else positions[0].unionByName(positions[1])
     return Ordered(out if limit is None else out.filter(F.col("pos") < limit), n)
 
 
-def _task_count(df: DataFrame, rows: int, rows_per_task: int) -> int:
-    """Enough tasks for the size; small inputs do not get one task per core."""
+def _task_count(df: DataFrame, rows: int, loads: float) -> int:
+    """One task per load; small inputs do not get one task per core."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(-(-rows // rows_per_task), min(cores, -(-rows // 5_000)), 1)
+    return max(math.ceil(loads), min(cores, -(-rows // 5_000)), 1)
 
 
 def _placed(keyed: DataFrame, places: pd.DataFrame) -> DataFrame:

@@ -60,13 +60,13 @@ def prepare(lines: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepar
     raw = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
     parsed = stage(tagged.select(raw, *[c for c in tagged.columns if c != "value"]), "parsed")
     kept = filter_category(accepted(parsed), config.category_filter, category_key())
-    ordered = order_records(kept, config.seed, digest=F.col("digest"), limit=cap)
+    ordered = order_records(kept, config.seed, digest=F.col("digest"), size="n_bytes", limit=cap)
     n = ordered.n if cap is None else min(cap, ordered.n)
     records = ordered.df.withColumns(
         {"split": split_column(validation_size(n, config.val_split)), "written": is_complete()}
     )
     records = stage(
-        to_messages(records, config.system_prompt).drop("instruction", "input", "output", "digest"),
+        to_messages(records, config.system_prompt).drop("instruction", "input", "output", "digest", "n_bytes"),
         "records",
         ["split"],
     )

@@ -32,9 +32,16 @@ def training_text(
     the number of tokens before the example, ready for packing.
     """
     rendered = select_text(render_chat(chat.filter(F.col("split") == split), template), keep=())
-    counted = stage(with_token_count(rendered, counter=counter), "text")
-    ordered = seeded_order(counted, seed, id_col="text", digest=F.md5("text"), sums={"offset": "n_tokens"})
-    return stage(ordered, "ordered-text")
+    sized = with_token_count(rendered, counter=counter).withColumn("n_bytes", F.octet_length("text"))
+    ordered = seeded_order(
+        stage(sized, "text"),
+        seed,
+        id_col="text",
+        digest=F.md5("text"),
+        sums={"offset": "n_tokens"},
+        size="n_bytes",
+    )
+    return stage(ordered.drop("n_bytes"), "ordered-text")
 
 
 def write_training_shards(

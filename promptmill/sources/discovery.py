@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,9 +17,10 @@ from promptmill.sources.lines import in_array, is_single_value
 IGNORED_NAMES = ["dataset-metadata.json"]
 SAMPLE_LINES = 3
 
-# Up to this many candidates each get a job that stops after three lines; more
-# are checked together in one scan.
+# Up to this many candidates, and large files at any number, each get a job that
+# stops after three lines; many small files are checked together in one scan.
 SMALL_LISTING = 64
+LARGE_FILE = 128 << 20
 
 
 def with_verdict(lines: DataFrame, value: str) -> DataFrame:
@@ -55,10 +57,19 @@ def sniff_file(spark: SparkSession, path: str) -> bool:
     return bool(verdicts) and all(verdicts)
 
 
-def _sniff_many(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
-    if len(paths) <= SMALL_LISTING:
-        with ThreadPoolExecutor(8) as pool:
-            return dict(zip(paths, pool.map(lambda p: sniff_file(spark, p), paths)))
+def _sniff_many(spark: SparkSession, files: dict[str, int]) -> dict[str, bool]:
+    """Verdict per file, given sizes by path."""
+    small = [p for p, size in files.items() if size < LARGE_FILE]
+    together = small if len(small) > SMALL_LISTING else []
+    alone = sorted(files.keys() - set(together))
+    with ThreadPoolExecutor(8) as pool:
+        verdicts = dict(zip(alone, pool.map(lambda p: sniff_file(spark, p), alone)))
+    return {p: ok for p, ok in sorted({**verdicts, **_sniff_together(spark, together)}.items())}
+
+
+def _sniff_together(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
+    if not paths:
+        return {}
     head = (
         spark.read.text(paths)
         .filter(F.col("_metadata.file_block_start") == 0)
@@ -68,31 +79,32 @@ def _sniff_many(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
             F.monotonically_increasing_id().alias("row"),
         )
     )
-    seen = {row.file: row.ok for row in sniff_shape(head, ["row"]).collect()}
+    # The metadata column gives paths URL-encoded, the listing does not.
+    seen = {unquote(row.file): row.ok for row in sniff_shape(head, ["row"]).collect()}
     return {p: seen.get(p, False) for p in paths}
 
 
-def _list_files(spark: SparkSession, root: str, pattern: str, recursive: bool = True) -> list[str]:
-    """Paths below ``root`` whose name fits; file contents are not read."""
+def _list_files(spark: SparkSession, root: str, pattern: str, recursive: bool = True) -> dict[str, int]:
+    """Paths below ``root`` whose name fits, with sizes; file contents are not read."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     try:
-        return sorted(row.path for row in reader.load(root).select("path").collect())
+        return dict(sorted(map(tuple, reader.load(root).select("path", "length").collect())))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return {}
         raise
 
 
 def candidate_files(spark: SparkSession, root: str) -> dict[str, bool]:
     """``.json`` and ``.jsonl`` files below ``root`` with their verdict."""
-    paths = [
-        p
-        for p in _list_files(spark, root, "*.{json,jsonl}")
-        if p.rsplit("/", 1)[-1] not in IGNORED_NAMES
-    ]
-    return _sniff_many(spark, paths)
+    files = {
+        path: size
+        for path, size in _list_files(spark, root, "*.{json,jsonl}").items()
+        if path.rsplit("/", 1)[-1] not in IGNORED_NAMES
+    }
+    return _sniff_many(spark, files)
 
 
 def discover_sources(spark: SparkSession, root: str) -> str:
@@ -114,7 +126,7 @@ def resolve_split(spark: SparkSession, name: str, prepared: str, root: str) -> s
     """``prepared`` if it is there, else the only ``name`` one level below ``root``."""
     if path_exists(spark, prepared):
         return prepared
-    found = _list_files(spark, f"{root.rstrip('/')}/*/{name}", "*", recursive=False)
+    found = list(_list_files(spark, f"{root.rstrip('/')}/*/{name}", "*", recursive=False))
     if len(found) == 1:
         return found[0]
     raise FileNotFoundError(

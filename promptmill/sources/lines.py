@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from promptmill.functions.fields import configure, field, once, text_value
 from promptmill.functions.text import WHITESPACE_SQL
 
-RECORD_COLUMNS = ["id", "id_value", "instruction", "input", "output", "metadata", "digest"]
+RECORD_COLUMNS = ["id", "id_value", "instruction", "input", "output", "metadata", "digest", "n_bytes"]
 
 
 # Where a line stands: file, start of the split it was read in, running id within the split.
@@ -71,8 +71,8 @@ def is_single_value(line: str, wrapped: str) -> str:
 def tag_lines(lines: DataFrame, value: str = "value", keep_blank: bool = False) -> DataFrame:
     """Parse every non-blank line once and say why it was rejected, if it was.
 
-    Adds ``id, id_value, instruction, input, output, metadata, digest`` and
-    ``reason``: NULL for a good record, else ``bad_encoding``, ``malformed``,
+    Adds ``id, id_value, instruction, input, output, metadata, digest, n_bytes``
+    and ``reason``: NULL for a good record, else ``bad_encoding``, ``malformed``,
     ``not_object`` or ``bad_type``. With ``keep_blank`` blank lines stay, as
     ``blank``, so that lines can be numbered.
     """
@@ -88,6 +88,7 @@ def tag_lines(lines: DataFrame, value: str = "value", keep_blank: bool = False)
         id_value=field("_record", "id"),
         metadata=field("_record", "metadata"),
         digest="md5(_line)",
+        n_bytes="octet_length(_line)",
         **{f"_{name}": field("_record", name) for name in texts},
     )
     typed = once(

@@ -79,12 +79,13 @@ def test_sniff(spark, tmp_path, rows, ok):
 
 
 def test_sniff_many_in_one_scan(spark, tmp_path, monkeypatch):
-    paths = [write_lines(tmp_path / f"{i}.jsonl", [GOOD] * 3 if i % 2 else ["{bad"]) for i in range(6)]
-    small = discovery.candidate_files(spark, str(tmp_path))
+    root = tmp_path / "a b"
+    for i in range(6):
+        write_lines(root / f"{i} + é%20.jsonl", [GOOD] * 3 if i % 2 else ["{bad"])
+    small = discovery.candidate_files(spark, str(root))
     monkeypatch.setattr(discovery, "SMALL_LISTING", 1)
-    assert discovery.candidate_files(spark, str(tmp_path)) == small
+    assert discovery.candidate_files(spark, str(root)) == small
     assert [ok for _, ok in sorted(small.items())] == [False, True] * 3
-    assert len(paths) == 6
 
 
 def test_sniff_bad_bytes(spark, tmp_path):

@@ -45,6 +45,15 @@ def test_tasks_ascend_in_position(spark):
     assert all(a.hi < b.lo for a, b in zip(bounds, bounds[1:]))
 
 
+def test_tasks_are_even_in_bytes(spark):
+    df = ids(spark, 4000).withColumn("n_bytes", F.when(F.col("id") < "r2", 900).otherwise(100))
+    want = placed(seeded_order(df.select("id")))
+    got = seeded_order(df, size="n_bytes", bytes_per_task=50_000)
+    assert placed(got) == want
+    loads = got.groupBy(F.spark_partition_id().alias("p")).agg(F.sum("n_bytes").alias("s")).collect()
+    assert len(loads) > 20 and max(r.s for r in loads) < 60_000
+
+
 def skewed(n, rng):
     """A third of the rows share one id; many of those are full copies; some ids are missing."""
     rows = []
