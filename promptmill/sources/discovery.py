@@ -123,10 +123,14 @@ def discover_sources(spark: SparkSession, root: str) -> str:
 
 
 def resolve_split(spark: SparkSession, name: str, prepared: str, root: str) -> str:
-    """``prepared`` if it is there, else the only ``name`` one level below ``root``."""
+    """``prepared`` if it is there, else the only ``name`` one level below ``root``.
+
+    A match may be a file, or a folder of part files.
+    """
     if path_exists(spark, prepared):
         return prepared
-    found = list(_list_files(spark, f"{root.rstrip('/')}/*/{name}", "*", recursive=False))
+    files = _list_files(spark, f"{root.rstrip('/')}/*/{name}", "*", recursive=False)
+    found = sorted({path if path.endswith(f"/{name}") else path[: path.rindex(f"/{name}/")] + f"/{name}" for path in files})
     if len(found) == 1:
         return found[0]
     raise FileNotFoundError(

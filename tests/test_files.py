@@ -117,11 +117,19 @@ def test_resolve_split(spark, tmp_path):
         discovery.resolve_split(spark, "train.jsonl", absent, str(root))
     write_lines(root / "a" / "train.jsonl", [GOOD])
     assert discovery.resolve_split(spark, "train.jsonl", absent, str(root)).endswith("/in/a/train.jsonl")
-    write_lines(root / "b" / "train.jsonl", [GOOD])
+    for i in range(3):
+        write_lines(root / "b" / "train.jsonl" / f"part-{i}.txt", [GOOD])
     with pytest.raises(FileNotFoundError, match="2 matches"):
         discovery.resolve_split(spark, "train.jsonl", absent, str(root))
 
 
+def test_resolve_split_of_part_files(spark, tmp_path):
+    for i in range(3):
+        write_lines(tmp_path / "in" / "b" / "train.jsonl" / f"part-{i}.txt", [GOOD])
+    found = discovery.resolve_split(spark, "train.jsonl", str(tmp_path / "none"), str(tmp_path / "in"))
+    assert found.endswith("/in/b/train.jsonl")
+
+
 def test_prompts_keep_their_order(spark, tmp_path):
     items = [{"id": f"p{i}", "category": "c", "prompt": f"ask {i}", "more": 1} for i in (3, 1, 2)]
     (tmp_path / "p.json").write_text(json.dumps(items, indent=2))
