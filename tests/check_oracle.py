@@ -30,9 +30,9 @@ def normal(frame):
     return list(frame.columns), sorted(rows, key=repr)
 
 
-def compare(spark, con, sf_dir: str, name: str) -> str:
+def compare(df, con, name: str) -> str:
     """Empty when equal, else the difference."""
-    ours = normal(queries()[name](spark, sf_dir).toArrow().to_pandas(types_mapper=None).astype(object))
+    ours = normal(df.toArrow().to_pandas().astype(object))
     theirs = normal(con.sql(oracle_sql()[name]).to_arrow_table().to_pandas().astype(object))
     if ours[0] != theirs[0]:
         return f"columns {ours[0]} against {theirs[0]}"
@@ -58,7 +58,7 @@ if __name__ == "__main__":
     for name in sys.argv[2:] or queries():
         begun = time.time()
         try:
-            verdict = compare(spark, con, folder, name) if name in oracle_sql() else "no SQL"
+            verdict = compare(queries()[name](spark, folder), con, name)
         except Exception as error:  # report and go on with the next query
             verdict = f"{type(error).__name__}: {str(error)[:800]}"
         print(f"{name:26s} {time.time() - begun:6.2f}s  {verdict or 'equal'}", flush=True)

@@ -1,0 +1,77 @@
+"""The physical plans that the claims about scale rest on."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from promptmill.operators.chat import conversation_usage
+from promptmill.operators.order import order_records, seeded_order
+from promptmill.operators.running import running_totals
+from promptmill.sources.lines import parse_lines
+from catalog.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def plan(df):
+    """The plan as executed (after adaptive changes, if it has run)."""
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def shuffles(df):
+    return [line for line in plan(df).splitlines() if re.search(r"[ -]Exchange ", line)]
+
+
+def test_order_shuffles_once(spark):
+    df = seeded_order(spark.read.parquet(f"{SF}/documents.parquet").withColumn("id", F.col("doc_id").cast("string")), rows_per_task=100)
+    assert len(shuffles(df)) == 1
+    assert "shufflepartitionidpassthrough" in shuffles(df)[0]
+
+
+def test_cap_drops_buckets_before_the_shuffle(spark):
+    df = spark.range(100_000).select(F.col("id").cast("string").alias("id"))
+    capped = order_records(df, limit=50, rows_per_task=1000).df
+    capped.collect()
+    assert capped.rdd.getNumPartitions() == 1
+
+
+def test_usage_of_short_conversations_needs_no_second_look(spark):
+    df = conversation_usage(spark.read.parquet(f"{SF}/conversations.parquet"))
+    df.collect()
+    assert len(shuffles(df)) == 1 and "Join" not in plan(df)
+
+
+def test_running_totals_move_rows_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang", "n_chars")
+        totals = running_totals(df, ["lang"], "doc_id", {"s": F.col("n_chars")})
+        # One for the rows, one for the chunk sums, one for their prefix sums and one back to the chunk.
+        assert len(shuffles(totals)) == 4
+        window = plan(totals).splitlines()
+        assert sum("Exchange" in line and "_group" in line and "_chunk" in line for line in window) == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_line_is_parsed_once(spark):
+    lines = spark.createDataFrame([("{}",)], "value string")
+    text = plan(parse_lines(lines))
+    # In brackets, and in braces for lines that hold a bracket themselves.
+    assert text.count("parseJson(concat([") == 1
+    assert text.count("parseJson(concat({") == 1
+
+
+def test_columns_are_pruned(spark):
+    order = plan(QUERIES["seeded_order"](spark, SF))
+    assert "ReadSchema: struct<conv_id:bigint,turn:bigint,role:string>" in order
+    assert "text:string" not in order
+    usage = plan(QUERIES["token_length_profile"](spark, SF))
+    assert "ReadSchema: struct<text:string,lang:string>" in usage
+
+
+def test_no_python_in_the_hot_path(spark):
+    for name in ("parse_lines", "to_messages", "conversation_usage", "truncate_tokens"):
+        text = plan(QUERIES[name](spark, SF))
+        assert "Python" not in text and "Pandas" not in text

@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.check_oracle import compare, connect
+from tests.test_plans import plan
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,7 +20,9 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, con, name):
-    assert compare(spark, con, SF, name) == ""
+    df = queries()[name](spark, SF)
+    assert compare(df, con, name) == ""
+    assert "NestedLoop" not in plan(df) and "Cartesian" not in plan(df)
 
 
 def test_entry(spark):
