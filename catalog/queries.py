@@ -57,7 +57,7 @@ def ordered_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def in_packing_order(counted: DataFrame) -> DataFrame:
     sized = counted.withColumn("size", chat.packed_size())
-    return order.seeded_order(sized, SEED, digest=F.md5("id"), sums={"offset": "size"})
+    return order.seeded_order(sized, SEED, sums={"offset": "size"})
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
+from pyspark.sql.window import WindowSpec
 
 PREFIX = 4  # hex digits of the hash that name a bucket: 65,536 buckets at most
 ROWS_PER_TASK = 500_000
@@ -103,9 +103,9 @@ def order_records(
 
 
 def _task_count(df: DataFrame, rows: int, loads: float) -> int:
-    """One task per load; small inputs do not get one task per core."""
+    """One task per load, at most one per possible bucket; small inputs do not get one per core."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(math.ceil(loads), min(cores, -(-rows // 5_000)), 1)
+    return max(min(math.ceil(loads), 16**PREFIX), min(cores, -(-rows // 5_000)), 1)
 
 
 def _placed(keyed: DataFrame, places: pd.DataFrame) -> DataFrame:
