@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from promptmill.staging import stage
 
 ROUNDS = 8
-PROBES = 32  # scales tried in one pass
 
 
 def tempered_targets(cells: DataFrame, by: str, power: float) -> DataFrame:
@@ -51,24 +50,19 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
 def sampling_scale(fitted: DataFrame, keep: float) -> float:
     """The factor ``s`` for which ``sum(tokens * min(1, s * ratio))`` is ``keep`` of all tokens.
 
-    Many scales are tried in each pass over the cells; once it is known which
-    cells are taken whole, the factor follows from the sums of the others.
+    The sum is concave in ``s``; from below, Newton steps rise until the set of
+    cells taken whole no longer grows, and then the factor is exact.
     """
-    ratio, tokens = F.col("weight") / F.col("tokens"), F.col("tokens")
-    live = fitted.filter((tokens > 0) & (F.col("weight") > 0)).select(tokens.cast("double").alias("t"), ratio.alias("r"))
-    total, least = live.agg(F.sum("t"), F.min("r")).first()
-    if not total:
-        return 1.0
-    goal = keep * total
-    low, high = 0.0, 1.0 / least
-    for _ in range(10):
-        tries = [low + (high - low) * i / PROBES for i in range(1, PROBES)]
-        sums = live.agg(*[F.sum(F.col("t") * F.least(F.lit(1.0), F.col("r") * x)) for x in tries]).first()
-        low = max([x for x, got in zip(tries, sums, strict=True) if got <= goal], default=low)
-        high = min([x for x, got in zip(tries, sums, strict=True) if got > goal], default=high)
-    whole = F.col("r") * ((low + high) / 2) >= 1
-    taken, rest = live.agg(F.sum(F.when(whole, F.col("t"))), F.sum(F.when(~whole, F.col("t") * F.col("r")))).first()
-    return (goal - (taken or 0.0)) / rest if rest else high
+    live = fitted.filter("tokens > 0 AND weight > 0")
+    goal = keep * (live.agg(F.sum("tokens")).first()[0] or 0)
+    scale, before = 0.0, -1.0
+    while goal and scale > before:
+        whole = F.col("weight") * scale >= F.col("tokens")
+        sums = live.agg(
+            F.coalesce(F.sum(F.when(whole, F.col("tokens"))), F.lit(0)), F.sum(F.when(~whole, F.col("weight")))
+        ).first()
+        before, scale = scale, (goal - sums[0]) / sums[1] if sums[1] else scale
+    return max(scale, before)
 
 
 def uniform(doc_id: str, seed: int) -> Column:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from promptmill.llm.ann_tree import nearest_neighbours
+from promptmill.llm.embedding_dedup import near_vectors
+from promptmill.llm.language_id import fit_languages, label_languages
 from promptmill.llm.mixing import estimated_tokens, mix, topic_of
 from promptmill.llm.packing import Capacity, pack_best_fit
 from promptmill.llm.sharding import minimax_shards
@@ -27,6 +30,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = nearest_neighbours(vectors, F.col("vec_id") % 100 == 0, k=10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score", "leaves")
+
+
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), threshold=0.9)
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), length=1024, end_id=2)
     digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
@@ -54,6 +67,15 @@ def minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = fit_languages(docs, ~held_out)
+    return label_languages(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), F.col("_language.lang").alias("lang_pred"), "_language.score"
+    )
+
+
 def url_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page shows the document whose number ends its path; it is bad if that one is toxic or of low quality."""
     number = F.regexp_extract("url", r"://[^/?#]*/[a-z]+/([0-9]+)", 1)
@@ -98,8 +120,11 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = {
+    "op1_nearest_vectors": nearest_vectors,
+    "op2_embedding_near_dedup": embedding_near_dedup,
     "op3_best_fit_packing": best_fit_packing,
     "op4_minimax_sharding": minimax_sharding,
+    "op5_language_id": language_id,
     "op6_url_filters": url_filters,
     "op8_mixing_weights": mixing_weights,
     "op9_simhash_near_dedup": simhash_near_dedup,
