@@ -1,12 +1,95 @@
-"""The training corpus pipeline: stages over ``documents``, each written and read again by the next."""
+"""The training corpus pipeline: stages over ``documents``, each written and read again by the next.
+
+Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All
+but the last return the columns of ``docs``, extra ones included. Empty tables stay empty.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from promptmill.llm.language_id import fit_languages, label_languages
+from promptmill.llm.mixing import estimated_tokens, mix, topic_of
+from promptmill.llm.packing import Capacity, pack_best_fit
+from promptmill.llm.repeats import remove_repeats
+from promptmill.llm.shipping import shipped
+from promptmill.llm.simhash import simhash_groups
+from promptmill.llm.tokenizing import token_pieces
 from promptmill.staging import stage
 
-STAGES: list = []
+LEAST_SCORE = 0.5
+
+
+@shipped
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a letter go, NULL texts among them, and those of which no language has half.
+
+    A missing ``lang`` is filled with the prediction. Without any labelled row nothing can be
+    predicted, and only texts without a letter go.
+    """
+    lettered = docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    model = fit_languages(docs, F.lit(True))
+    if not model.languages:
+        return lettered
+    named = label_languages(docs, model).filter(
+        (F.col("_language.lang") != "und") & (F.col("_language.score") >= LEAST_SCORE)
+    )
+    return named.withColumn("lang", F.coalesce("lang", "_language.lang")).select(*docs.columns)
+
+
+@shipped
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest doc_id stays.
+
+    Rows without doc_id are in no group and stay. Of rows with one doc_id, one stays.
+    """
+    groups = stage(simhash_groups(docs, words=4, radius=4), "groups")
+    heads = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    kept = docs.join(heads.select("doc_id"), "doc_id", "left_semi")
+    if heads.filter("_rows > 1").limit(1).count():
+        order = Window.partitionBy("doc_id").orderBy("text")
+        kept = kept.withColumn("_row", F.row_number().over(order)).filter("_row = 1").drop("_row")
+    return kept.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
+
+
+@shipped
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 200 bytes that occur again are cut out, in whole characters; ``n_chars`` follows.
+
+    Documents of which no more than white space is left go; texts without a repeat stay as they are.
+    """
+    found = remove_repeats(docs, length=200, characters=True)
+    cut = F.size("_repeats.spans") > 0
+    text = F.when(cut, F.decode("_repeats.kept", "UTF-8")).otherwise(F.col("text"))
+    left = found.withColumns({"text": text, "_cut": cut})
+    chars = F.when(F.col("_cut"), F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    blank = F.col("_cut") & (F.length(F.trim(F.col("text"))) == 0)
+    return left.filter(~blank).withColumn("n_chars", chars).select(*docs.columns)
+
+
+@shipped
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources, languages and topics are drawn towards even shares; three quarters of the tokens stay."""
+    by = {"source": F.col("source"), "language": F.col("lang"), "topic": topic_of(F.col("text"))}
+    return mix(docs, by, estimated_tokens(F.col("text"))).filter("_mix.sampled").select(*docs.columns)
+
+
+@shipped
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document stands in sequences of 1,024 tokens, with the digest of its ids."""
+    pieces = token_pieces(docs.select("doc_id", "text"), length=1024, end_id=2)
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return pack_best_fit(digests, Capacity(tokens=1024))
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("SimHash near-dedup", simhash_dedup),
+    ("suffix-array dedup", suffix_array_dedup),
+    ("mixing to target weights", mixing),
+    ("best-fit packing", packing),
+]
 ORACLE_SQL = None  # tokenizers, Viterbi and suffix matches are beyond SQL; tests compare with brute force
 
 

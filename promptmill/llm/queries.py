@@ -10,6 +10,7 @@ from promptmill.llm.embedding_dedup import near_vectors
 from promptmill.llm.language_id import fit_languages, label_languages
 from promptmill.llm.mixing import estimated_tokens, mix, topic_of
 from promptmill.llm.packing import Capacity, pack_best_fit
+from promptmill.llm.repeats import remove_repeats
 from promptmill.llm.sharding import minimax_shards
 from promptmill.llm.shipping import shipped
 from promptmill.llm.simhash import simhash_groups
@@ -91,6 +92,17 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, url_outcomes(spark, sf_dir), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=200)
+    return found.select(
+        "doc_id",
+        "_repeats.n_bytes",
+        (F.col("_repeats.n_bytes") - F.length("_repeats.kept")).alias("n_removed"),
+        F.size("_repeats.spans").cast("bigint").alias("n_spans"),
+        F.sha2("_repeats.kept", 256).alias("kept_sha256"),
+    )
+
+
 def mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     sized = docs.select(
@@ -126,6 +138,7 @@ _ALL = {
     "op4_minimax_sharding": minimax_sharding,
     "op5_language_id": language_id,
     "op6_url_filters": url_filters,
+    "op7_suffix_array_dedup": suffix_array_dedup,
     "op8_mixing_weights": mixing_weights,
     "op9_simhash_near_dedup": simhash_near_dedup,
     "op10_token_counts": token_counts,
