@@ -60,7 +60,7 @@ ruled AS (
   FROM pages_of LEFT JOIN bounds USING (host))
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-            WHEN lower > 0.25 THEN 'block' ELSE 'allow' END AS verdict
+            WHEN lower > 0.25 AND (SELECT sum(n) FROM named) > 0 THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
 """.replace(
     "{strength}",

@@ -95,11 +95,13 @@ def host_reputation(
     shrunk towards all outcomes (with ``base`` good and bad ones added), the
     domain towards its suffix, the host towards its domain. ``lower`` lies 1.645
     posterior deviations under the mean: the host is worse than that with 95 per cent.
+    Without any outcome it is 0.
     """
     hosts = outcomes.select(
         "host", "n", "bad", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix")
     )
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
+    known_at_all = F.lit(bool(total["n"]))
     overall = ((total["bad"] or 0) + base) / ((total["n"] or 0) + 2 * base)
     counts = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     above = hosts.groupBy("suffix").agg(*counts).withColumn("prior", F.lit(overall))
@@ -109,7 +111,8 @@ def host_reputation(
     known = _level(hosts.join(domains, "domain"), least, most)
     a, b = F.col("alpha"), F.col("beta")
     deviation = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    return known.select("host", "n", "bad", "posterior", F.greatest(a / (a + b) - 1.645 * deviation, F.lit(0.0)).alias("lower"))
+    lower = F.when(known_at_all, F.greatest(a / (a + b) - 1.645 * deviation, F.lit(0.0))).otherwise(0.0)
+    return known.select("host", "n", "bad", "posterior", lower.alias("lower"))
 
 
 def judge_urls(
@@ -125,8 +128,7 @@ def judge_urls(
     ``outcomes`` has a row ``host, bad`` (0 or 1) per labelled page. A host is blocked
     if the lower bound of its posterior share of bad pages is over ``limit``. Hosts
     without outcomes rest on their domain and suffix, as far as known, and else on
-    all outcomes together; without any outcome the share is taken as one half with
-    next to no weight, and nothing is blocked by reputation. A NULL url, or one
+    all outcomes together; without any outcome nothing is blocked by reputation. A NULL url, or one
     without ``://``, has an empty host and path and no rule. Repeated rows are judged each.
     """
     parts = pages.select(F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
