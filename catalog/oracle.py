@@ -207,6 +207,17 @@ FROM w""",
     "estimate_tokens": f"""SELECT doc_id, len(regexp_extract_all(text, {WORDS}))::BIGINT AS n_tokens FROM documents""",
     "token_counter_hook": f"""SELECT doc_id, len(regexp_extract_all(text, {WORDS}))::BIGINT AS n_tokens FROM documents""",
     "seeded_order": f"""WITH {RECORDS},{ranked('records')} SELECT id, pos FROM ranked""",
+    **{
+        name: f"""WITH {RECORDS},
+named AS (
+  SELECT CASE conv_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'same' ELSE concat(conv_id, '-', turn) END AS id,
+         concat(conv_id, '-', turn) AS name
+  FROM records)
+SELECT id, name, row_number() OVER (
+         ORDER BY md5(concat('{SEED}:', coalesce(id, md5(name)))), md5(concat('{SEED}:', md5(name)))) - 1 AS pos
+FROM named"""
+        for name in ("seeded_order_no_id", "seeded_order_hot")
+    },
     "cap_examples": f"""WITH {RECORDS},{ranked('records')} SELECT id, pos FROM ranked WHERE pos < {CAP}""",
     "split_train_val": f"""WITH {RECORDS},{ranked('records')}
 SELECT id, pos, CASE WHEN pos < (SELECT {n_val()} FROM ranked) THEN 'val' ELSE 'train' END AS split FROM ranked""",
@@ -272,6 +283,19 @@ train AS (
   FROM ranked WHERE pos >= (SELECT {n_val()} FROM ranked))
 SELECT (p % {WORLD})::INT AS rank, p AS pos, text,
        len(regexp_extract_all(text, {WORDS}))::BIGINT AS n_tokens FROM train""",
+    "training_blocks": f"""WITH {RENDERED},{ranked('rendered')},
+labelled AS (
+  SELECT text, CASE WHEN pos < (SELECT {n_val()} FROM ranked) THEN 'validation' ELSE 'train' END AS split FROM ranked),
+ordered AS (
+  SELECT split, regexp_extract_all(text, {WORDS}) AS words,
+         row_number() OVER (PARTITION BY split ORDER BY md5(concat('{SEED}:', text)), md5(text)) AS p
+  FROM labelled),
+each_word AS (SELECT split, p, unnest(words) AS word, generate_subscripts(words, 1) AS k FROM ordered),
+laid AS (
+  SELECT split, p, word, row_number() OVER (PARTITION BY split ORDER BY p, k) - 1 AS at FROM each_word)
+SELECT split, (at // {BLOCK})::BIGINT AS block_id, count(DISTINCT p)::BIGINT AS n_segments,
+       md5(string_agg(word, ' ' ORDER BY at)) AS tokens_md5
+FROM laid GROUP BY split, at // {BLOCK}""",
     "eval_results": f"""WITH {RESULTS}
 SELECT run, id, category, prompt_tokens, completion_tokens FROM results""",
     "eval_report": f"""WITH {RESULTS} SELECT run, ord, section FROM sections""",
@@ -288,6 +312,9 @@ SELECT CASE split WHEN 'val' THEN 'validation' ELSE split END AS split, (3 * cou
 FROM split GROUP BY 1""",
     "write_sidecar_roundtrip": f"""WITH {prepared()}
 SELECT id, pos, category FROM prepared WHERE written AND split = 'train'""",
+    "prepare_files_roundtrip": f"""WITH {prepared()}
+SELECT id, pos, CASE WHEN input = '' THEN instruction ELSE concat(instruction, chr(10), chr(10), input) END AS "user"
+FROM prepared WHERE written AND split = 'train'""",
     "write_report_roundtrip": f"""WITH {RESULTS}
 SELECT run, (sum(len(section) - len(replace(section, chr(10), '')) + 1) + {HEADER_LINES})::BIGINT AS n_lines,
        (sum(len(replace(section, chr(10), ''))) + {HEADER_CHARS})::BIGINT AS n_chars

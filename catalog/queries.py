@@ -13,7 +13,14 @@ from catalog import views
 from promptmill.functions import estimate_tokens, tokens
 from promptmill.operators import chat, evaluate, order, profile
 from promptmill.operators import records as rec
-from promptmill.plans import PrepareConfig, prepare, training_text, write_training_shards
+from promptmill.plans import (
+    PrepareConfig,
+    prepare,
+    prepare_files,
+    training_text,
+    write_training_shards,
+)
+from promptmill.plans import training_blocks as make_blocks
 from promptmill.sinks import write_chat, write_sidecar
 from promptmill.sinks.writers import write_report
 from promptmill.sources import discovery
@@ -110,7 +117,7 @@ def discover_sources(spark, sf_dir):
 def written_chat(spark: SparkSession, sf_dir: str) -> str:
     """Both splits of the records as chat lines; returns the folder."""
     root = scratch_dir(spark, "chat")
-    split = order.split_train_val(complete(spark, sf_dir), seed=SEED)
+    split = order.split_train_val(stage(complete(spark, sf_dir), "complete"), seed=SEED)
     table = rec.to_messages(split, SYSTEM).select("split", "pos", "messages")
     staged = f"{root}/staged"
     table.write.partitionBy("split").parquet(staged)
@@ -186,8 +193,8 @@ def render_prompt(spark, sf_dir):
 
 
 def select_text(spark, sf_dir):
-    split = order.split_train_val(rendered(spark, sf_dir).select("id", "text"), seed=SEED)
-    return chat.select_text(split)
+    text = stage(rendered(spark, sf_dir).select("id", "text"), "text")
+    return chat.select_text(order.split_train_val(text, seed=SEED))
 
 
 def truncate_tokens(spark, sf_dir):
@@ -219,16 +226,37 @@ def token_counter_hook(spark, sf_dir):
 # Order and split
 
 
+def record_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written once, since ordering looks at its input twice."""
+    return stage(views.records(spark, sf_dir).select("id"), "ids")
+
+
+def partly_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turn = F.col("conv_id") % 4
+    name = F.concat_ws("-", "conv_id", "turn")
+    id_ = F.when(turn == 0, None).when(turn == 1, F.lit("same")).otherwise(name)
+    return stage(views.records(spark, sf_dir).select(id_.alias("id"), name.alias("name")), "ids")
+
 def seeded_order(spark, sf_dir):
-    return order.seeded_order(views.records(spark, sf_dir).select("id"), SEED)
+    return order.seeded_order(record_ids(spark, sf_dir), SEED)
+
+
+def seeded_order_no_id(spark, sf_dir):
+    """A quarter of the records without id and a quarter with ids that repeat, told apart by their text."""
+    return order.seeded_order(partly_named(spark, sf_dir), SEED, digest=F.md5("name"))
+
+
+def seeded_order_hot(spark, sf_dir):
+    """The same with every id that repeats on the way of those that stand on very many records."""
+    return order.seeded_order(partly_named(spark, sf_dir), SEED, digest=F.md5("name"), hot_rows=2)
 
 
 def cap_examples(spark, sf_dir):
-    return order.cap_examples(views.records(spark, sf_dir).select("id"), CAP, SEED)
+    return order.cap_examples(record_ids(spark, sf_dir), CAP, SEED)
 
 
 def split_train_val(spark, sf_dir):
-    return order.split_train_val(views.records(spark, sf_dir).select("id"), seed=SEED)
+    return order.split_train_val(record_ids(spark, sf_dir), seed=SEED)
 
 
 def assign_shards(spark, sf_dir):
@@ -283,7 +311,7 @@ def balance_categories(spark, sf_dir):
 
 
 def run_sizing(spark, sf_dir):
-    split = order.split_train_val(views.records(spark, sf_dir).select("id"), seed=SEED)
+    split = order.split_train_val(record_ids(spark, sf_dir), seed=SEED)
     return profile.run_sizing(split, EPOCHS, PER_DEVICE, ACCUMULATION, WORLD)
 
 
@@ -301,10 +329,10 @@ def pack_sequences(spark, sf_dir):
 
 def packed_blocks(spark, sf_dir):
     """Blocks of tokens, put together from the pieces."""
-    words = rendered(spark, sf_dir).select("id", tokens(F.col("text")).alias("tokens"))
-    counted = stage(words.withColumn("n_tokens", F.size("tokens").cast("bigint")), "tokens")
-    pieces = chat.pack_sequences(in_packing_order(counted), BLOCK, offset="offset")
-    blocks = chat.packed_blocks(pieces)
+    words = rendered(spark, sf_dir).select("id", tokens(F.col("text")).alias("tokens"), F.octet_length("text").alias("n_bytes"))
+    counted = stage(words.withColumns({"n_tokens": F.size("tokens").cast("bigint"), "size": F.size("tokens")}), "tokens")
+    placed = order.seeded_order(counted, SEED, digest=F.md5("id"), sums={"offset": "size"}, size="n_bytes")
+    blocks = chat.packed_blocks(chat.pack_sequences(placed, BLOCK, offset="offset", tokens_col="tokens"))
     return blocks.select(
         "block_id",
         "n_segments",
@@ -333,11 +361,23 @@ def training_shards(spark, sf_dir):
     return shards.select("rank", "pos", "text", estimate_tokens(F.col("text")).alias("n_tokens"))
 
 
+def training_blocks(spark, sf_dir):
+    """Chat lines of both splits read back, ordered, and packed into blocks of tokens."""
+    root = written_chat(spark, sf_dir)
+    chat_lines = read_chat(spark, f"{root}/attached/train.jsonl", f"{root}/attached/val.jsonl")
+    parts = []
+    for split in ("train", "validation"):
+        blocks = make_blocks(training_text(chat_lines, split, seed=SEED), BLOCK)
+        digest = F.md5(F.array_join("tokens", " ")).alias("tokens_md5")
+        parts.append(blocks.select(F.lit(split).alias("split"), "block_id", "n_segments", digest))
+    return parts[0].unionByName(parts[1])
+
+
 # Evaluation
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.eval_results(views.prompts(spark, sf_dir), views.responses(spark, sf_dir), SYSTEM)
+    return stage(evaluate.eval_results(views.prompts(spark, sf_dir), views.responses(spark, sf_dir), SYSTEM), "results")
 
 
 def eval_results(spark, sf_dir):
@@ -374,6 +414,18 @@ def write_sidecar_roundtrip(spark, sf_dir):
     return spark.read.text(path).select(line).select("m.id", "m.pos", category.alias("category"))
 
 
+def prepare_files_roundtrip(spark, sf_dir):
+    """Lines in a file, prepared and written; chat and sidecar lines joined by their position."""
+    root = scratch_dir(spark, "prepare")
+    views.lines(spark, sf_dir).select("value").write.text(f"{root}/lines.jsonl")
+    config = PrepareConfig(seed=SEED, system_prompt=SYSTEM)
+    prepare_files(spark, f"{root}/out", f"{root}/lines.jsonl", config=config, ordered=True)
+    meta = spark.read.json(f"{root}/out/train_meta.jsonl", schema="id string, pos bigint")
+    chat_lines = spark.read.json(f"{root}/out/train.jsonl", schema="pos bigint, messages array<struct<content:string>>")
+    user = F.element_at("messages", -2)["content"]
+    return meta.join(chat_lines, "pos").select("id", "pos", user.alias("user"))
+
+
 def write_report_roundtrip(spark, sf_dir):
     """Both runs' reports written and read back as lines."""
     path = scratch_dir(spark, "reports")
@@ -412,6 +464,8 @@ QUERIES: dict[str, Query] = {
     "estimate_tokens": estimate_tokens_query,
     "token_counter_hook": token_counter_hook,
     "seeded_order": seeded_order,
+    "seeded_order_no_id": seeded_order_no_id,
+    "seeded_order_hot": seeded_order_hot,
     "cap_examples": cap_examples,
     "split_train_val": split_train_val,
     "assign_shards": assign_shards,
@@ -430,10 +484,12 @@ QUERIES: dict[str, Query] = {
     "packed_blocks": packed_blocks,
     "packing_report": packing_report,
     "training_shards": training_shards,
+    "training_blocks": training_blocks,
     "eval_results": eval_results,
     "eval_report": eval_report,
     "compare_runs": compare_runs,
     "write_chat_roundtrip": write_chat_roundtrip,
     "write_sidecar_roundtrip": write_sidecar_roundtrip,
+    "prepare_files_roundtrip": prepare_files_roundtrip,
     "write_report_roundtrip": write_report_roundtrip,
 }

@@ -12,7 +12,14 @@ from promptmill.operators.chat import conversation_usage
 from promptmill.operators.evaluate import compare_runs, eval_report, eval_results
 from promptmill.operators.profile import top_categories
 from promptmill.operators.records import SYSTEM_PROMPT
-from promptmill.plans import PrepareConfig, prepare_files, training_text, write_training_shards
+from promptmill.plans import (
+    PrepareConfig,
+    prepare_files,
+    training_blocks,
+    training_text,
+    write_training_blocks,
+    write_training_shards,
+)
 from promptmill.sinks import ROWS_PER_FILE, write_report
 from promptmill.sources.chat import read_chat, read_prompts
 
@@ -34,6 +41,9 @@ def parser() -> argparse.ArgumentParser:
 
     p = sub.add_parser("text", help="chat JSONL to rendered training text per worker")
     p.add_argument("--train_file", required=True)
+    p.add_argument("--validation_file")
+    p.add_argument("--max_seq_length", type=int, help="also write token blocks of at most this length")
+    p.add_argument("--packing", action="store_true", help="lay examples end to end in the blocks")
     p.add_argument("--output_dir", required=True)
     p.add_argument("--world_size", type=int, default=1)
     p.add_argument("--rows_per_file", type=int, default=ROWS_PER_FILE)
@@ -73,10 +83,16 @@ def main(argv: list[str] | None = None) -> None:
         done = prepare_files(spark, args.output_dir, args.input, args.input_root, config, args.ordered)
         done.counters.show()
         top_categories(done.categories).show(truncate=False)
-        done.quarantine.drop("value").show(truncate=False)
+        done.quarantine.groupBy("file", "reason").count().show(truncate=False)
     elif args.command == "text":
-        text = training_text(read_chat(spark, args.train_file), seed=args.seed)
-        write_training_shards(text, args.output_dir, args.world_size, args.rows_per_file)
+        chat = read_chat(spark, args.train_file, args.validation_file)
+        for split in ("train", "validation") if args.validation_file else ("train",):
+            folder = args.output_dir if split == "train" else f"{args.output_dir.rstrip('/')}-{split}"
+            text = training_text(chat, split, seed=args.seed)
+            write_training_shards(text, folder, args.world_size, args.rows_per_file)
+            if args.max_seq_length:
+                blocks = training_blocks(text, args.max_seq_length, args.packing)
+                write_training_blocks(blocks, f"{folder.rstrip('/')}-blocks", args.world_size)
     elif args.command == "report":
         table = results(spark, args.prompts_file, args.responses, args.system_prompt)
         now = datetime.now(timezone.utc)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from promptmill.functions.text import estimate_tokens, strip, tokens
 from promptmill.operators.running import CHUNK, chunk_of, running_totals
+from promptmill.staging import stage
 
 TokenCounter = Callable[[Column], Column]
 
@@ -30,14 +31,14 @@ CHATML = ChatTemplate()
 def chat_text(
     messages: Column, template: ChatTemplate = CHATML, add_generation_prompt: bool = False
 ) -> Column:
-    """Messages as one string, as an expression."""
+    """Messages as one string, as an expression. A missing role or content is empty text."""
     turns = F.transform(
         messages,
         lambda m: F.concat(
             F.lit(template.before_role),
-            m["role"],
+            F.coalesce(m["role"], F.lit("")),
             F.lit(template.after_role),
-            m["content"],
+            F.coalesce(m["content"], F.lit("")),
             F.lit(template.after_content),
         ),
     )
@@ -95,6 +96,7 @@ def pack_sequences(
     n_tokens: str = "n_tokens",
     separator: int = 0,
     offset: str | None = None,
+    tokens_col: str | None = None,
     **options,
 ) -> DataFrame:
     """Lay examples end to end and cut the row of tokens into blocks of ``length``.
@@ -103,31 +105,31 @@ def pack_sequences(
     (``start``), where in the block (``place``) and its ``length``. Each example
     is followed by ``separator`` extra tokens. Examples without tokens take no
     place. ``offset`` names the running total of :func:`packed_size` if ``df``
-    has it already, as ``order_records(sums=...)`` gives it.
+    has it already, as ``order_records(sums=...)`` gives it. ``tokens_col`` names an
+    array of the example's tokens: each piece then carries its own part of it only.
     """
     sized = df.withColumn("_size", packed_size(n_tokens, separator)).filter(F.col("_size") > 0)
     if offset:
         placed = sized.withColumn("_off", F.col(offset))
     else:
         placed = running_totals(sized, [], order, {"_off": F.col("_size")}, **options)
-    return placed.selectExpr(
-        "*", f"explode(sequence(_off div {length}, (_off + _size - 1) div {length})) AS block_id"
-    ).selectExpr(
-        *[f"`{c}`" for c in df.columns],
-        "block_id",
-        f"greatest(block_id * {length} - _off, 0) AS start",
-        f"greatest(_off - block_id * {length}, 0) AS place",
-        f"least((block_id + 1) * {length} - _off, _size) - greatest(block_id * {length} - _off, 0) AS length",
-    )
+    begin, end = f"greatest(b * {length} - _off, 0)", f"least((b + 1) * {length} - _off, _size)"
+    fields = f"""b AS block_id, {begin} AS start, greatest(_off - b * {length}, 0) AS place, {end} - {begin} AS length"""
+    if tokens_col:
+        fields += f", slice(`{tokens_col}`, CAST({begin} AS int) + 1, CAST({end} - {begin} AS int)) AS `{tokens_col}`"
+    # Pieces are cut before rows are made, so a long example is not copied to each of them.
+    blocks = f"sequence(_off div {length}, (_off + _size - 1) div {length})"
+    kept = [f"`{c}`" for c in df.columns if c != tokens_col]
+    return placed.selectExpr(*kept, f"inline(transform({blocks}, b -> struct({fields})))")
 
 
 def packed_blocks(pieces: DataFrame, tokens_col: str = "tokens") -> DataFrame:
-    """Blocks with their tokens, from packed pieces that carry the example's ``tokens``.
+    """Blocks with their tokens, from packed pieces that carry their part of the tokens.
 
     A block holds ``length`` tokens at most, so its group is bounded. Separator
     positions beyond an example's tokens give no token here.
     """
-    piece = F.struct("place", F.slice(tokens_col, F.col("start").cast("int") + 1, F.col("length").cast("int")).alias("tokens"))
+    piece = F.struct("place", F.col(tokens_col).alias("tokens"))
     parts = F.array_sort(F.collect_list(piece))
     return pieces.groupBy("block_id").agg(parts.alias("_parts")).select(
         "block_id",
@@ -170,7 +172,8 @@ def conversation_usage(
     template adds per message and for the generation prompt.
 
     Turns are cut into chunks so that a conversation of any length spreads over
-    tasks; conversations within one chunk need no second look.
+    tasks. Texts are counted once: the counts are written out, and conversations
+    that reach into a second chunk are looked at again from there.
     """
     said = F.when(F.col("role") == "user", strip(F.col("text"))).otherwise(F.col("text"))
     reply = F.col("role") == "assistant"
@@ -185,7 +188,7 @@ def conversation_usage(
         ).alias("_exit"),
     )
 
-    turns = turns.withColumn("_n", F.col("_said") + message_overhead)
+    turns = stage(turns.withColumn("_n", F.col("_said") + message_overhead), "turns")
 
     inside = Window.partitionBy("conv_id", "_chunk").orderBy("turn")
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -204,7 +207,8 @@ def conversation_usage(
         return seen.withColumn("_session", F.sum(turn_total).over(upto))
 
     # Only conversations that reach a second chunk are read again for chunk sums.
-    long = df.filter(F.col("turn") >= chunk).select("conv_id").distinct()
+    ends = turns.groupBy("conv_id").agg((F.min("_chunk") < F.max("_chunk")).alias("_long"))
+    long = ends.filter("_long").select("conv_id")
     sums = (
         local(turns.join(long, "conv_id", "left_semi"))
         .groupBy("conv_id", "_chunk")

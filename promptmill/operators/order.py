@@ -11,11 +11,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from promptmill.staging import stage
+
 PREFIX = 4  # hex digits of the hash that name a bucket: 65,536 buckets at most
 ROWS_PER_TASK = 500_000
 BYTES_PER_TASK = 256 << 20
 HOT_ROWS = 1_000_000
-COPIES_PER_ROW = 100_000
+SALTS = 1_024  # parts that rows with one digest are dealt into, where an id is on very many rows
 
 
 @dataclass(frozen=True)
@@ -46,9 +48,11 @@ def order_records(
     bytes_per_task: int = BYTES_PER_TASK,
     hot_rows: int = HOT_ROWS,
 ) -> Ordered:
-    """Rank all records by ``md5(seed:id)``, then by a digest of the whole record.
+    """Rank all records by ``md5(seed:id)``, then by a seeded digest of the whole record.
 
-    The order depends on the content alone, not on partitioning. One narrow pass
+    A record without id goes by its digest in place of the id, so the seed moves
+    every record. The order depends on the content alone, not on partitioning;
+    only records with one digest may trade places. One narrow pass
     counts the records per hash prefix; those counts (65,536 at most) give each
     bucket its first position and its task, so the records are shuffled once,
     into tasks of about ``rows_per_task`` records, ascending in ``pos``, or of
@@ -60,9 +64,9 @@ def order_records(
     Buckets over ``hot_rows`` (one id on very many records) take another way,
     see :func:`_hot_positions`.
     """
-    if digest is None:
-        digest = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col), F.lit(""))))
+    digest = record_digest(df) if digest is None else digest
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col), digest)))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), digest))
     bucket = F.conv(F.substring(key, 1, PREFIX), 16, 10).cast("int")
 
     sums = sums or {}
@@ -82,10 +86,7 @@ def order_records(
 
     hot = counts["n"] > max(hot_rows, 4 * n >> (4 * PREFIX))
     weight, per_task = (counts["size"], bytes_per_task) if size else (counts["n"], rows_per_task)
-    cold_tasks, hot_tasks = (
-        _task_count(df, int(counts["n"][part].sum()), int(weight[part].sum()) / per_task)
-        for part in (~hot, hot)
-    )
+    cold_tasks = _task_count(df, int(counts["n"][~hot].sum()), int(weight[~hot].sum()) / per_task)
     filled = weight.where(~hot, 0).cumsum() / max(int(weight[~hot].sum()), 1)
     task = (filled.shift(fill_value=0) * cold_tasks).astype("int64").clip(upper=cold_tasks - 1)
     places = pd.DataFrame({"_bucket": counts["b"], "_task": task, "_first": before})
@@ -97,11 +98,18 @@ def order_records(
     if (~hot).any():
         positions.append(_cold_positions(df, _placed(keyed, places[~hot]), cold_tasks, sums))
     if hot.any():
-        positions.append(_hot_positions(df, _placed(keyed, places[hot]), hot_tasks, sums))
+        positions.append(_hot_positions(df, _placed(keyed, places[hot]), sums))
     out = positions[0] if len(positions) == 1 else positions[0].unionByName(positions[1])
     return Ordered(out if limit is None else out.filter(F.col("pos") < limit), n)
 
 
+def record_digest(df: DataFrame) -> Column:
+    """Digest of a whole record; binary and time columns count to the last bit."""
+    exact = {"binary": F.hex, "timestamp": lambda c: c.cast("string"), "timestamp_ntz": lambda c: c.cast("string")}
+    columns = [exact.get(kind, lambda c: c)(F.col(f"`{name}`")).alias(name) for name, kind in df.dtypes]
+    return F.md5(F.to_json(F.struct(*columns)))
+
+
 def _task_count(df: DataFrame, rows: int, loads: float) -> int:
     """One task per load, at most one per possible bucket; small inputs do not get one per core."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -134,42 +142,47 @@ def _cold_positions(df: DataFrame, rows: DataFrame, tasks: int, sums: dict[str,
     )
 
 
-def _hot_positions(df: DataFrame, rows: DataFrame, tasks: int, sums: dict[str, str]) -> DataFrame:
+def _hot_positions(df: DataFrame, rows: DataFrame, sums: dict[str, str]) -> DataFrame:
     """Positions for buckets where one id stands on very many records.
 
-    Equal records are interchangeable, so copies are first counted (before the
-    shuffle) and carried as one row. What is left of an id is cut by digest
-    prefix, and the sizes of the cuts give each its first position. Copies are
-    written out again at the end, a bounded number per row and spread over tasks.
+    The rows are written out once, dealt at random into parts of their digest, so
+    that a second look sees the same parts. Counts per digest and part are made
+    before the shuffle; they give every part its first position, cut by digest
+    prefix so that no task ranks all digests of an id. No row is merged with another.
     """
-    # What each row adds to the position and to each sum, per copy.
-    steps = {"_first": F.lit(1)}
+    # What each row adds to the position and to each sum.
+    steps = {"_first": F.lit(1).cast("bigint")}
     steps |= {f"_sum_{name}": F.coalesce(F.col(f"`{c}`").cast("bigint"), F.lit(0)) for name, c in sums.items()}
-    merged = (
-        rows.groupBy("_bucket", "_key", "_digest", *steps)
-        .agg(F.count("*").alias("_m"), *[F.any_value(F.col(f"`{c}`")).alias(c) for c in df.columns])
-        .withColumn("_cut", F.substring("_digest", 1, PREFIX))
-        .withColumns({f"_all{c}": F.col("_m") * step for c, step in steps.items()})
+    dealt = rows.withColumns(
+        {
+            "_salt": F.floor(F.rand(SALTS) * SALTS).cast("int"),
+            "_row": F.monotonically_increasing_id(),
+            **{f"_own{c}": step for c, step in steps.items()},
+        }
     )
+    dealt = stage(dealt, "hot-rows")
+    same = ["_bucket", "_key", "_digest"]
+    part = [*same, "_salt"]
+
+    counted = dealt.groupBy(*part, *steps).agg(*[F.sum(f"_own{c}").alias(f"_all{c}") for c in steps])
+    salts = Window.partitionBy(*same).orderBy("_salt")
+    counted = counted.withColumns({f"_salted{c}": _before(salts, F.col(f"_all{c}")) for c in steps})
+    counted = stage(counted.withColumn("_cut", F.substring("_digest", 1, PREFIX)), "hot-counts")
     cut = ["_bucket", "_key", "_cut"]
-    sizes = merged.groupBy(*cut).agg(*[F.sum(f"_all{c}").alias(f"_all{c}") for c in steps])
+    sizes = counted.groupBy(*cut).agg(*[F.sum(f"_all{c}").alias(f"_all{c}") for c in steps])
     cuts = Window.partitionBy("_bucket").orderBy("_key", "_cut")
     carry = sizes.select(*cut, *[_before(cuts, F.col(f"_all{c}")).alias(f"_prior{c}") for c in steps])
-
-    inside = Window.partitionBy(*cut).orderBy("_digest")
-    starts = [(F.col(c) + F.col(f"_prior{c}") + _before(inside, F.col(f"_all{c}"))).alias(c) for c in steps]
-    placed = merged.join(carry, cut).select(*df.columns, "_m", *starts)
-
-    blocks = f"explode(sequence(0, (_m - 1) div {COPIES_PER_ROW})) AS _block"
-    last = f"least(_m, (_block + 1) * {COPIES_PER_ROW}) - 1"
-    copies = (
-        placed.selectExpr("*", blocks)
-        .repartition(tasks, "_first", "_block")
-        .selectExpr("*", f"explode(sequence(_block * {COPIES_PER_ROW}, {last})) AS _copy")
+    digests = counted.groupBy(*cut, "_digest").agg(*[F.sum(f"_all{c}").alias(f"_all{c}") for c in steps])
+    within = Window.partitionBy(*cut).orderBy("_digest")
+    starts = digests.select(*cut, "_digest", *[_before(within, F.col(f"_all{c}")).alias(f"_inner{c}") for c in steps])
+    places = counted.join(starts.join(carry, cut), [*cut, "_digest"]).select(
+        *part, *[(F.col(c) + F.col(f"_prior{c}") + F.col(f"_inner{c}") + F.col(f"_salted{c}")).alias(f"_from{c}") for c in steps]
     )
+    inside = Window.partitionBy(*part).orderBy("_row")
     names = {"_first": "pos", **{f"_sum_{name}": name for name in sums}}
-    return copies.select(
-        *df.columns, *[(F.col(c) + F.col("_copy") * step).alias(names[c]) for c, step in steps.items()]
+    return dealt.join(places, part).select(
+        *df.columns,
+        *[(F.col(f"_from{c}") + _before(inside, F.col(f"_own{c}"))).alias(names[c]) for c in steps],
     )
 
 

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 # Consecutive order values handled by one window group.
 CHUNK = 65_536
+# Chunks whose sums one window group adds up.
+SPAN = 4_096
 
 
 def chunk_of(order: str, chunk: int = CHUNK) -> Column:
-    return F.expr(f"`{order}` div {chunk}")
+    """The chunk of a whole number; negative ones too lie in chunks of full size."""
+    return F.expr(f"(`{order}` - pmod(`{order}`, {chunk})) div {chunk}")
 
 
 def running_totals(
@@ -44,10 +47,17 @@ def running_totals(
         }
     )
 
+    names = [f"_c_{n}" for n in values]
     sums = rows.groupBy(*keys).agg(*[F.sum(f"_v_{n}").alias(f"_c_{n}") for n in values])
-    earlier = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = sums.select(
-        *keys, *[F.coalesce(F.sum(f"_c_{n}").over(earlier), F.lit(0)).alias(f"_c_{n}") for n in values]
+    # Chunks in turn are summed in spans, so that the chunks of a long group do not meet in one task either.
+    sums = sums.withColumn("_span", chunk_of("_chunk", SPAN))
+    spans = [*group, "_span"]
+    totals = sums.groupBy(*spans).agg(*[F.sum(c).alias(f"_s{c}") for c in names])
+    outer = Window.partitionBy(*group).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(*spans, *[F.coalesce(F.sum(f"_s{c}").over(outer), F.lit(0)).alias(f"_s{c}") for c in names])
+    inner = Window.partitionBy(*spans).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = sums.join(before, spans).select(
+        *keys, *[(F.col(f"_s{c}") + F.coalesce(F.sum(c).over(inner), F.lit(0))).alias(c) for c in names]
     )
     if below:
         carry = carry.filter(F.col(f"_c_{below[0]}") < below[1])

@@ -56,6 +56,7 @@ def prepare(lines: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepar
     once, so that every output is a scan of the columns it needs.
     """
     cap = check_cap(config.max_examples)
+    validation_size(0, config.val_split)
     tagged = tag_lines(lines, keep_blank=set(PLACE) <= set(lines.columns))
     raw = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
     parsed = stage(tagged.select(raw, *[c for c in tagged.columns if c != "value"]), "parsed")
@@ -108,14 +109,20 @@ def prepare_files(
     config: PrepareConfig = PrepareConfig(),
     ordered: bool = False,
 ) -> Prepared:
-    """Read ``input`` (or the one data file below ``input_root``) and write the three outputs."""
+    """Read ``input`` (or the one data file below ``input_root``) and write the outputs.
+
+    Chat lines and sidecar lines carry the same ``pos``. Rejected lines are written
+    to ``rejected.jsonl`` with file, line number and reason.
+    """
     if input is None:
         if input_root is None:
             raise ValueError("give an input path, or a folder to look in")
         input = discover_sources(spark, input_root)
     result = prepare(read_lines(spark, input), config)
     root = output_dir.rstrip("/")
-    write_chat(result.split("train"), f"{root}/train.jsonl", ordered)
-    write_chat(result.split("val"), f"{root}/val.jsonl", ordered)
+    write_chat(result.split("train"), f"{root}/train.jsonl", ordered, with_pos=True)
+    write_chat(result.split("val"), f"{root}/val.jsonl", ordered, with_pos=True)
     write_sidecar(result.split("train"), f"{root}/train_meta.jsonl", ordered)
+    rejected = result.quarantine
+    rejected.select(F.to_json(F.struct(*rejected.columns))).write.mode("overwrite").text(f"{root}/rejected.jsonl")
     return result

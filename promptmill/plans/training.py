@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promptmill.functions.text import estimate_tokens
+from promptmill.functions.text import estimate_tokens, tokens
 from promptmill.operators.chat import (
     CHATML,
     ChatTemplate,
     TokenCounter,
+    pack_sequences,
+    packed_blocks,
     render_chat,
     select_text,
     with_token_count,
@@ -44,6 +46,31 @@ def training_text(
     return stage(ordered.drop("n_bytes"), "ordered-text")
 
 
+def training_blocks(text: DataFrame, max_seq_length: int = 2048, packing: bool = True) -> DataFrame:
+    """``block_id, n_segments, tokens`` from :func:`training_text`: what a trainer takes in at once.
+
+    With ``packing`` the examples are laid end to end and cut after every
+    ``max_seq_length`` tokens; without, each example is a block, cut there.
+    """
+    if max_seq_length < 1:
+        raise ValueError("max_seq_length must be positive")
+    worded = text.withColumn("tokens", F.coalesce(tokens(F.col("text")), F.array().cast("array<string>")))
+    if packing:
+        placed = worded.select("pos", "n_tokens", "offset", "tokens")
+        return packed_blocks(pack_sequences(placed, max_seq_length, offset="offset", tokens_col="tokens"))
+    return worded.select(
+        F.col("pos").alias("block_id"),
+        F.lit(1).cast("bigint").alias("n_segments"),
+        F.slice("tokens", 1, max_seq_length).alias("tokens"),
+    )
+
+
+def write_training_blocks(blocks: DataFrame, path: str, world_size: int) -> None:
+    """Blocks as JSON lines, dealt to workers in turn, below ``rank=<r>``."""
+    dealt = assign_shards(blocks.withColumnRenamed("block_id", "pos"), world_size)
+    dealt.select("rank", F.to_json(F.struct("pos", "tokens")).alias("value")).write.mode("overwrite").partitionBy("rank").text(path)
+
+
 def write_training_shards(
     text: DataFrame, path: str, world_size: int, rows_per_file: int = ROWS_PER_FILE
 ) -> None:

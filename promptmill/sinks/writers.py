@@ -13,8 +13,12 @@ ROWS_PER_FILE = 500_000
 
 
 def _in_order(df: DataFrame, ordered: bool) -> DataFrame:
-    """Sort by ``pos`` across part files, at the price of a shuffle."""
-    return df.repartitionByRange("pos").sortWithinPartitions("pos") if ordered else df
+    """Sort by ``pos`` across part files, cut after every ``ROWS_PER_FILE`` positions, with one shuffle."""
+    if not ordered:
+        return df
+    last = df.agg(F.max("pos")).first()[0] or 0
+    cut = F.expr(f"CAST(pos div {ROWS_PER_FILE} AS int)")
+    return df.repartitionById(last // ROWS_PER_FILE + 1, cut).sortWithinPartitions("pos")
 
 
 def write_chat(df: DataFrame, path: str, ordered: bool = False, with_pos: bool = False) -> None:
@@ -41,15 +45,15 @@ def write_sidecar(df: DataFrame, path: str, ordered: bool = False, with_pos: boo
 def write_shards(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Text of each worker below ``rank=<r>``, in ``pos`` order within a file.
 
-    A worker's share is cut after every ``rows_per_file`` examples, and the cuts
-    are spread over tasks.
+    Examples are dealt to workers in turn, so a worker's share is cut after every
+    ``rows_per_file`` of them by position; each cut is one task and one file.
     """
-    ranks = df.groupBy("rank").agg(F.max("pos").alias("last"))
-    world, last = ranks.agg(F.count("*"), F.max("last")).first()
-    cut = F.expr(f"pos div {rows_per_file * max(world, 1)}")
-    tasks = max(world, 1) * (1 + (last or 0) // (rows_per_file * max(world, 1)))
+    world, last = df.agg(F.max("rank"), F.max("pos")).first()
+    world = (world or 0) + 1
+    cuts = 1 + (last or 0) // (rows_per_file * world)
+    place = F.expr(f"CAST(rank * {cuts} + pos div {rows_per_file * world} AS int)")
     (
-        df.repartition(tasks, "rank", cut)
+        df.repartitionById(world * cuts, place)
         .sortWithinPartitions("rank", "pos")
         .select("rank", F.to_json(F.struct("pos", "text")).alias("value"))
         .write.mode("overwrite")

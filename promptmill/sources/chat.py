@@ -10,12 +10,14 @@ from promptmill.sources.discovery import path_exists
 
 
 def read_chat(spark: SparkSession, train: str, validation: str | None = None) -> DataFrame:
-    """Chat lines as ``split, messages``; the validation file is optional."""
+    """Chat lines as ``split, messages``; the validation file is optional. A line without messages is an error."""
     parts = {"train": train}
     if validation and path_exists(spark, validation):
         parts["validation"] = validation
     reader = spark.read.schema(f"messages {MESSAGES}").option("mode", "FAILFAST")
-    frames = [reader.json(path).select(F.lit(split).alias("split"), "messages") for split, path in parts.items()]
+    lacking = F.raise_error(F.lit("chat line without messages")).cast(MESSAGES)
+    messages = F.coalesce("messages", lacking).alias("messages")
+    frames = [reader.json(path).select(F.lit(split).alias("split"), messages) for split, path in parts.items()]
     return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,11 +16,6 @@ from promptmill.sources.lines import in_array, is_single_value
 IGNORED_NAMES = ["dataset-metadata.json"]
 SAMPLE_LINES = 3
 
-# Up to this many candidates, and large files at any number, each get a job that
-# stops after three lines; many small files are checked together in one scan.
-SMALL_LISTING = 64
-LARGE_FILE = 128 << 20
-
 
 def with_verdict(lines: DataFrame, value: str) -> DataFrame:
     """Add ``ok``: the line is one JSON object with ``instruction`` and ``output``, or with ``messages``."""
@@ -49,62 +43,60 @@ def sniff_shape(lines: DataFrame, order: list[str], file: str = "file", value: s
     return with_verdict(head, value).groupBy(file).agg(F.bool_and("ok").alias("ok"))
 
 
-def sniff_file(spark: SparkSession, path: str) -> bool:
-    """The same for one file, reading no more than its first lines."""
-    configure(spark)
-    lines = spark.read.text(path).filter(strip(F.col("value")) != "").limit(SAMPLE_LINES)
-    verdicts = [row.ok for row in with_verdict(lines, "value").collect()]
-    return bool(verdicts) and all(verdicts)
-
-
-def _sniff_many(spark: SparkSession, files: dict[str, int]) -> dict[str, bool]:
-    """Verdict per file, given sizes by path."""
-    small = [p for p, size in files.items() if size < LARGE_FILE]
-    together = small if len(small) > SMALL_LISTING else []
-    alone = sorted(files.keys() - set(together))
+def _head(spark: SparkSession, path: str) -> list[bytes]:
+    """The first three non-blank lines of a file, in file order.
+
+    The limit is the root of the plan, so Spark looks at the first split and goes on
+    to later ones only while lines are lacking.
+    """
+    lines = spark.read.text(path).filter(strip(F.col("value")) != "").select(F.col("value").cast("binary"))
+    return [bytes(row.value) for row in lines.take(SAMPLE_LINES)]
+
+
+def sniff_files(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
+    """Verdict per file. Each is read as far as its third non-blank line, all by the same rule.
+
+    One short job per file, eight at a time, and one job that judges all heads.
+    """
     with ThreadPoolExecutor(8) as pool:
-        verdicts = dict(zip(alone, pool.map(lambda p: sniff_file(spark, p), alone)))
-    return {p: ok for p, ok in sorted({**verdicts, **_sniff_together(spark, together)}.items())}
+        heads = dict(zip(paths, pool.map(lambda p: _head(spark, p), paths), strict=True))
+    rows = [(path, i, line) for path, head in heads.items() for i, line in enumerate(head)]
+    if not rows:
+        return dict.fromkeys(paths, False)
+    table = spark.createDataFrame(rows, "file string, row int, value binary")
+    table = table.withColumn("value", F.col("value").cast("string"))
+    seen = {row.file: row.ok for row in sniff_shape(table, ["row"]).collect()}
+    return {path: seen.get(path, False) for path in paths}
 
 
-def _sniff_together(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
-    if not paths:
-        return {}
-    head = (
-        spark.read.text(paths)
-        .filter(F.col("_metadata.file_block_start") == 0)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            "value",
-            F.monotonically_increasing_id().alias("row"),
-        )
-    )
-    # The metadata column gives paths URL-encoded, the listing does not.
-    seen = {unquote(row.file): row.ok for row in sniff_shape(head, ["row"]).collect()}
-    return {p: seen.get(p, False) for p in paths}
+def sniff_file(spark: SparkSession, path: str) -> bool:
+    """The same for one file."""
+    return sniff_files(spark, [path])[path]
 
 
-def _list_files(spark: SparkSession, root: str, pattern: str, recursive: bool = True) -> dict[str, int]:
-    """Paths below ``root`` whose name fits, with sizes; file contents are not read."""
+def _list_files(spark: SparkSession, root: str, pattern: str, recursive: bool = True) -> list[str]:
+    """Paths below ``root`` whose name fits; file contents are not read."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     try:
-        return dict(sorted(map(tuple, reader.load(root).select("path", "length").collect())))
+        return sorted(row.path for row in reader.load(root).select("path").collect())
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return {}
+            return []
         raise
 
 
 def candidate_files(spark: SparkSession, root: str) -> dict[str, bool]:
     """``.json`` and ``.jsonl`` files below ``root`` with their verdict."""
-    files = {
-        path: size
-        for path, size in _list_files(spark, root, "*.{json,jsonl}").items()
-        if path.rsplit("/", 1)[-1] not in IGNORED_NAMES
-    }
-    return _sniff_many(spark, files)
+    paths = [p for p in _list_files(spark, root, "*.{json,jsonl}") if p.rsplit("/", 1)[-1] not in IGNORED_NAMES]
+    return sniff_files(spark, paths)
+
+
+def _some(paths: list[str], most: int = 20) -> str:
+    """Names for an error text; of very many the first ones and their number."""
+    rest = [f"and {len(paths) - most} more"] if len(paths) > most else []
+    return "\n".join([*paths[:most], *rest])
 
 
 def discover_sources(spark: SparkSession, root: str) -> str:
@@ -114,10 +106,10 @@ def discover_sources(spark: SparkSession, root: str) -> str:
     if len(valid) == 1:
         return valid[0]
     if valid:
-        raise FileNotFoundError(f"several data files below {root}, name one:\n" + "\n".join(valid))
+        raise FileNotFoundError(f"several data files below {root}, name one:\n" + _some(valid))
     if verdicts:
         raise FileNotFoundError(
-            f"no file below {root} holds one JSON record per line:\n" + "\n".join(verdicts)
+            f"no file below {root} holds one JSON record per line:\n" + _some(list(verdicts))
         )
     raise FileNotFoundError(f"no .json or .jsonl file below {root}")
 
@@ -134,7 +126,7 @@ def resolve_split(spark: SparkSession, name: str, prepared: str, root: str) -> s
     if len(found) == 1:
         return found[0]
     raise FileNotFoundError(
-        f"{name}: not at {prepared}, and {len(found)} matches below {root}\n" + "\n".join(found)
+        f"{name}: not at {prepared}, and {len(found)} matches below {root}\n" + _some(found)
     )
 
 

@@ -52,8 +52,19 @@ def number_lines(rows: DataFrame, every_line: DataFrame) -> DataFrame:
     )
 
 
+# The parser's own limits are lifted for text and numbers; it goes as deep as this.
+DEEPEST = 1_000
+
+
+def parsed_json(text: str) -> str:
+    """SQL: the VARIANT of a JSON text of any length, NULL if it is not JSON."""
+    options = """map('maxStringLen', '2147483647', 'maxNumLen', '2147483647',
+        'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"""
+    return f"from_json({text}, 'variant', {options})"
+
+
 def in_array(line: str) -> str:
-    return f"try_parse_json(concat('[', {line}, ']'))"
+    return parsed_json(f"concat('[', {line}, ']')")
 
 
 def is_single_value(line: str, wrapped: str) -> str:
@@ -63,7 +74,7 @@ def is_single_value(line: str, wrapped: str) -> str:
     second value shows as a second element, and any other rest is an error unless
     the line itself closes the bracket; such lines must also fit inside braces.
     """
-    in_object = f"""try_parse_json(concat('{{"r":', {line}, '}}'))"""
+    in_object = parsed_json(f"""concat('{{"r":', {line}, '}}')""")
     return f"""{wrapped} IS NOT NULL AND try_variant_get({wrapped}, '$[1]', 'variant') IS NULL
         AND CASE WHEN contains({line}, ']') THEN {in_object} IS NOT NULL ELSE true END"""
 
@@ -73,7 +84,7 @@ def tag_lines(lines: DataFrame, value: str = "value", keep_blank: bool = False)
 
     Adds ``id, id_value, instruction, input, output, metadata, digest, n_bytes``
     and ``reason``: NULL for a good record, else ``bad_encoding``, ``malformed``,
-    ``not_object`` or ``bad_type``. With ``keep_blank`` blank lines stay, as
+    ``too_deep`` (over 1,000 brackets and not parsed), ``not_object`` or ``bad_type``. With ``keep_blank`` blank lines stay, as
     ``blank``, so that lines can be numbered.
     """
     configure(lines.sparkSession)
@@ -96,9 +107,10 @@ def tag_lines(lines: DataFrame, value: str = "value", keep_blank: bool = False)
         **{name: text_value(f"_{name}") for name in texts},
         _usable="coalesce(schema_of_variant(metadata) RLIKE '^(OBJECT<|VOID$)', true)",
     )
-    reason = F.expr("""CASE
+    reason = F.expr(f"""CASE
         WHEN _line = '' THEN 'blank'
         WHEN NOT is_valid_utf8(_line) THEN 'bad_encoding'
+        WHEN NOT _single AND length(_line) - length(translate(_line, '[{{', '')) >= {DEEPEST - 1} THEN 'too_deep'
         WHEN NOT _single THEN 'malformed'
         WHEN _record IS NULL THEN 'not_object'
         WHEN instruction IS NULL OR input IS NULL OR output IS NULL OR NOT _usable THEN 'bad_type'

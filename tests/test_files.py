@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from promptmill.__main__ import main
 from promptmill.operators.chat import render_chat
 from promptmill.operators.evaluate import compare_runs, eval_report, eval_results
-from promptmill.plans import PrepareConfig, prepare, prepare_files, training_text, write_training_shards
+from promptmill.plans import (
+    PrepareConfig,
+    prepare,
+    prepare_files,
+    training_blocks,
+    training_text,
+    write_training_shards,
+)
 from promptmill.sinks import write_chat, write_report, write_sidecar
 from promptmill.sources import discovery
 from promptmill.sources.chat import read_chat, read_prompts
@@ -78,14 +85,23 @@ def test_sniff(spark, tmp_path, rows, ok):
     assert discovery.sniff_file(spark, path) is ok
 
 
-def test_sniff_many_in_one_scan(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("count", [1, 100])
+def test_one_verdict_rule_for_any_number_and_size_of_files(spark, tmp_path, count):
+    """The first three lines decide, though they lie in the second split, and a later bad line does not."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     root = tmp_path / "a b"
-    for i in range(6):
-        write_lines(root / f"{i} + é%20.jsonl", [GOOD] * 3 if i % 2 else ["{bad"])
-    small = discovery.candidate_files(spark, str(root))
-    monkeypatch.setattr(discovery, "SMALL_LISTING", 1)
-    assert discovery.candidate_files(spark, str(root)) == small
-    assert [ok for _, ok in sorted(small.items())] == [False, True] * 3
+    for i in range(count - 1):
+        write_lines(root / f"{i} + é%20.jsonl", [GOOD] if i % 2 else ["{bad"])
+    write_lines(root / "blank-start.jsonl", [""] * 9_000 + [GOOD] * 3 + ["{bad"])
+    write_lines(root / "late.jsonl", [GOOD, " " * 9_000, GOOD, "{bad"])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        verdicts = {path.rsplit("/", 1)[-1]: ok for path, ok in discovery.candidate_files(spark, str(root)).items()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(verdicts) == count + 1
+    assert verdicts["blank-start.jsonl"] is True and verdicts["late.jsonl"] is False
+    assert all(ok == (int(name.split()[0]) % 2 == 1) for name, ok in verdicts.items() if name[0].isdigit())
 
 
 def test_sniff_bad_bytes(spark, tmp_path):
@@ -302,3 +318,31 @@ def test_command_line(spark, tmp_path, capsys):
     assert json.loads(text_of(f"{out}/diff"))["status"] == "changed"
     main(["usage", "--conversations", "/root/testdata/sf0.001/conversations.parquet", "--output_dir", f"{out}/usage"])
     assert spark.read.parquet(f"{out}/usage").count() == 34
+
+
+def test_chat_line_without_messages_is_an_error(spark, tmp_path):
+    write_lines(tmp_path / "c.jsonl", ['{"other": 1}'])
+    with pytest.raises(Exception, match="without messages"):
+        read_chat(spark, str(tmp_path / "c.jsonl")).collect()
+
+
+def test_missing_content_is_empty_text(spark):
+    kind = "messages array<struct<role:string,content:string>>"
+    df = spark.createDataFrame([([("user", None), ("assistant", "x")],)], kind)
+    assert render_chat(df).first().text == "<|im_start|>user\n<|im_end|>\n<|im_start|>assistant\nx<|im_end|>\n"
+
+
+def test_blocks_with_and_without_packing(spark):
+    rows = [(0, "a b c", 3, 0), (1, "d e", 2, 3), (2, "f g h i", 4, 5)]
+    text = spark.createDataFrame(rows, "pos bigint, text string, n_tokens bigint, offset bigint")
+    packed = {r.block_id: r.tokens for r in training_blocks(text, 4).collect()}
+    assert packed == {0: list("abcd"), 1: list("efgh"), 2: list("i")}
+    single = {r.block_id: r.tokens for r in training_blocks(text, 3, packing=False).collect()}
+    assert single == {0: list("abc"), 1: list("de"), 2: list("fgh")}
+
+
+def test_rejected_lines_are_written(spark, tmp_path):
+    write_lines(tmp_path / "in.jsonl", [GOOD, "{bad", GOOD, "[1]"])
+    prepare_files(spark, str(tmp_path / "out"), str(tmp_path / "in.jsonl"))
+    rows = spark.read.json(str(tmp_path / "out" / "rejected.jsonl")).collect()
+    assert sorted((r.line_no, r.reason) for r in rows) == [(2, "malformed"), (4, "not_object")]

@@ -1,5 +1,6 @@
 import hashlib
 import random
+from datetime import datetime
 from itertools import accumulate
 
 import pytest
@@ -14,6 +15,7 @@ from promptmill.operators.order import (
     split_train_val,
     validation_size,
 )
+from tests.test_plans import plan
 
 
 def h(seed, id_):
@@ -71,9 +73,9 @@ def skewed(n, rng):
 
 
 @pytest.mark.parametrize("hot_rows", [10, 200, 10**6])
-@pytest.mark.parametrize("copies_per_row", [7, 100_000])
-def test_hot_ids_and_copies(spark, monkeypatch, hot_rows, copies_per_row):
-    monkeypatch.setattr(order, "COPIES_PER_ROW", copies_per_row)
+@pytest.mark.parametrize("salts", [1, 64])
+def test_hot_ids_and_copies(spark, monkeypatch, hot_rows, salts):
+    monkeypatch.setattr(order, "SALTS", salts)
     rows = skewed(2000, random.Random(3))
     df = spark.createDataFrame(rows, "id string, text string").withColumn("v", F.length("text"))
     digest = F.md5(F.concat_ws("|", F.coalesce("id", F.lit("-")), "text"))
@@ -83,7 +85,8 @@ def test_hot_ids_and_copies(spark, monkeypatch, hot_rows, copies_per_row):
     got = [(r.pos, r.id, r.text) for r in placed]
 
     def key(r):
-        return h(42, r[0]), hashlib.md5(f"{'-' if r[0] is None else r[0]}|{r[1]}".encode()).hexdigest()
+        digest = hashlib.md5(f"{'-' if r[0] is None else r[0]}|{r[1]}".encode()).hexdigest()
+        return h(42, digest if r[0] is None else r[0]), h(42, digest)
 
     want = [(i, *r) for i, r in enumerate(sorted(rows, key=key))]
     assert got == want
@@ -99,6 +102,33 @@ def test_default_digest_makes_a_total_order(spark):
     assert [x[0] for x in a] == list(range(500))
 
 
+def test_seed_moves_records_without_id(spark):
+    rows = [(None, f"text {i}") for i in range(200)] + [("same", f"text {i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "id string, text string")
+    orders = [[r.text for r in seeded_order(df, seed).orderBy("pos").collect() if r.id is None] for seed in (1, 2)]
+    same = [[r.text for r in seeded_order(df, seed).orderBy("pos").collect() if r.id] for seed in (1, 2)]
+    assert orders[0] != orders[1] and sorted(orders[0]) == sorted(orders[1])
+    assert same[0] != same[1] and sorted(same[0]) == sorted(same[1])
+
+
+def test_records_without_id_are_not_hot(spark):
+    df = spark.range(3000).selectExpr("CAST(NULL AS string) AS id", "id AS v")
+    text = plan(seeded_order(df, hot_rows=500))
+    assert text.count("Exchange") - text.count("BroadcastExchange") == 1 and "SortMergeJoin" not in text
+
+
+def test_hot_rows_keep_their_own_values(spark):
+    """Values that look alike as JSON stay apart, and a digest of some columns merges nothing."""
+    rows = [("x", datetime(2024, 1, 1, 0, 0, 0, i % 5), bytes([255 - i % 3]), i) for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, t timestamp, b binary, v long")
+    cold = seeded_order(df).collect()
+    assert [r.v for r in sorted(seeded_order(df, hot_rows=1).collect(), key=lambda r: r.pos)] == [r.v for r in sorted(cold, key=lambda r: r.pos)]
+    for options in ({}, {"digest": F.md5("id")}):
+        hot = seeded_order(df, hot_rows=1, **options).collect()
+        assert sorted((r.t, bytes(r.b), r.v) for r in hot) == sorted((r.t, bytes(r.b), r.v) for r in cold)
+        assert sorted(r.pos for r in hot) == list(range(60))
+
+
 def test_limit_moves_only_the_head(spark):
     full = placed(seeded_order(ids(spark, 2000)))
     part = order_records(ids(spark, 2000), limit=100)

@@ -120,3 +120,10 @@ def test_messages(spark):
     assert with_system["b"][1].content == "do\n\nthis"
     assert set(with_system) == {"a", "b"}
     assert [len(r.messages) for r in to_messages(df, "").collect()] == [2, 2]
+
+
+def test_lines_of_any_length_and_deep_ones(spark):
+    long = '{"instruction":"' + "x" * 21_000_000 + '","output":"y"}'
+    deep = '{"instruction":"a","output":"b","metadata":{"m":' + "[" * 1200 + "]" * 1200 + "}}"
+    rows = tag_lines(spark.createDataFrame([(long,), (deep,)], "value string")).select("reason", F.length("instruction").alias("n")).collect()
+    assert {r.n for r in rows if r.reason is None} == {21_000_000} and {r.reason for r in rows} == {None, "too_deep"}

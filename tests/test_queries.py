@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from catalog.oracle import ORACLE
+from catalog.queries import QUERIES
 from tests.check_oracle import compare, connect
 from tests.test_plans import plan
 
@@ -15,12 +17,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     assert compare(df, con, name) == ""
     assert "NestedLoop" not in plan(df) and "Cartesian" not in plan(df)
 

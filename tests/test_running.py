@@ -120,9 +120,9 @@ def test_blocks_hold_the_tokens_in_order(spark):
     texts = ["a b c", "d e f g h", "", "i j k l"]
     df = spark.createDataFrame(list(enumerate(texts)), "pos bigint, text string")
     df = df.withColumn("tokens", F.expr("filter(split(text, ' '), t -> t <> '')")).withColumn("n_tokens", F.size("tokens"))
-    blocks = packed_blocks(pack_sequences(df, 5)).orderBy("block_id").collect()
+    blocks = packed_blocks(pack_sequences(df, 5, tokens_col="tokens")).orderBy("block_id").collect()
     assert [r.tokens for r in blocks] == [list("abcde"), list("fghij"), list("kl")]
-    spaced = packed_blocks(pack_sequences(df, 5, separator=1)).orderBy("block_id").collect()
+    spaced = packed_blocks(pack_sequences(df, 5, separator=1, tokens_col="tokens")).orderBy("block_id").collect()
     assert [r.tokens for r in spaced] == [list("abcd"), list("efgh"), list("ijkl")]
 
 
@@ -164,3 +164,16 @@ def test_profile_and_sizing(spark):
 def test_top_categories_breaks_ties_by_name(spark):
     df = spark.createDataFrame([("b", 2), ("a", 2), ("c", 5)], "category string, n bigint")
     assert [r.category for r in top_categories(df, 2).collect()] == ["c", "a"]
+
+
+def test_a_long_example_is_cut_in_linear_time(spark):
+    df = spark.sql("SELECT 0L AS pos, transform(sequence(1, 1000000), x -> 'w') AS tokens, 1000000L AS n_tokens")
+    sizes = packed_blocks(pack_sequences(df, 2048, tokens_col="tokens")).select(F.size("tokens").alias("n"))
+    assert sizes.agg(F.sum("n"), F.max("n"), F.count("*")).first() == (1_000_000, 2048, 489)
+
+
+def test_negative_turns_do_not_depend_on_the_chunk(spark):
+    rows = [(1, t, "user" if t % 2 else "assistant", "a b") for t in range(-5, 4)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    totals = [sorted(map(tuple, conversation_usage(table, chunk=c).collect())) for c in (1, 2, 1000)]
+    assert totals[0] == totals[1] == totals[2]
