@@ -10,14 +10,16 @@ from catalog.queries import (
     MAX_LEN,
     PER_CATEGORY,
     PER_DEVICE,
-    REPORT_TIME,
     SEED,
     SYSTEM,
     WORLD,
 )
-from promptmill.functions.text import WHITESPACE
-from promptmill.operators.evaluate import report_header
 
+# The white space of Unicode, as text is stripped of it.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 WORDS = r"'[^ \t\n\r\f]+'"
 
 RECORDS = """
@@ -153,8 +155,9 @@ sections AS (
   FROM results WHERE response IS NOT NULL)"""
 
 # Lines and characters the header of a run's report adds.
-_HEADER = report_header("model a", REPORT_TIME) + "\n"
-HEADER_LINES, HEADER_CHARS = _HEADER.count("\n"), len(_HEADER.replace("\n", ""))
+# The head of a report: title, "model a" and the time with its zone, a rule, and blank lines between.
+HEADER_LINES = 8
+HEADER_CHARS = len("# Eval Report") + len("**Model:** model a") + len("**Generated:** 2024-01-02T03:04:05+00:00") + len("---")
 
 MESSAGES_OF = """
 SELECT id, 0 AS idx, 'system' AS role, '{system}' AS content FROM {table}

@@ -55,7 +55,7 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     con = connect(folder)
-    for name in sys.argv[2:] or queries():
+    for name in sys.argv[2:] or oracle_sql():
         begun = time.time()
         try:
             verdict = compare(queries()[name](spark, folder), con, name)
