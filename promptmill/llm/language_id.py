@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from promptmill.llm.tokenizing import small_runs
+
 FEATURES = 1 << 15
 SAMPLE_DOCS = 2_000  # labelled documents per language that the model is fitted on, about
 LONGEST = 4  # characters of an n-gram
@@ -262,7 +264,7 @@ def label_languages(docs: DataFrame, model: LanguageModel, text: str = "text", o
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in (run for whole in batches for run in small_runs(whole, whole.column("_text"))):
             answers = []
             for value in batch.column("_text"):
                 name, score, spans = model.label(value.as_py())

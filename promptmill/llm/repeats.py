@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promptmill.llm.run_index import build
+from promptmill.llm.tokenizing import small_runs
 from promptmill.staging import stage
 
 GRAM = 32  # bytes whose hash may stand for a window
 CHUNK = 1 << 20  # windows looked at together
-BLOCK = 1 << 20  # bytes indexed together
+BLOCK = 1 << 18  # bytes indexed together
 MOST_SEGMENTS = 256  # of one anchor that are indexed together
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -135,10 +136,19 @@ def _counted_windows(segments: DataFrame, length: int) -> DataFrame:
     """The same for anchors with very many different segments: windows are counted one by one."""
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for a, d, multi, data, w in batch[["a", "d", "multi", "bytes", "w"]].itertuples(index=False):
+        for whole in batches:
+            for at in range(0, len(whole), 1_000):
+                batch = whole.iloc[at : at + 1_000]
+                w = batch["w"].to_numpy(np.int64)
+                hashes = [RollingHash(data).windows(length).view(np.int64) for data in batch["bytes"]]
                 yield pd.DataFrame(
-                    {"a": a, "h": RollingHash(data).windows(length).view(np.int64), "d": d, "i": range(w), "n": 1 + multi}
+                    {
+                        "a": np.repeat(batch["a"].to_numpy(np.int64), w),
+                        "h": np.concatenate(hashes),
+                        "d": np.repeat(batch["d"].to_numpy(np.int64), w),
+                        "i": np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w),
+                        "n": np.repeat(1 + batch["multi"].to_numpy(np.int64), w),
+                    }
                 )
 
     every = stage(segments.mapInPandas(windows, "a bigint, h bigint, d bigint, i int, n int"), "windows")
@@ -161,7 +171,7 @@ def _anchors(keyed: DataFrame, length: int) -> DataFrame:
     """``a, d, k, cp, w`` for each segment of each text; ``cp`` is the text's checksum and the place of the segment."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (run for whole in batches for run in small_runs(whole, whole.column("text"))):
             parts, rows = [], []
             for row, text in enumerate(batch.column("text")):
                 part = segments_of(text.as_py().encode(), length)
@@ -194,7 +204,7 @@ def _fetched(keyed: DataFrame, owners: DataFrame, wanted: DataFrame, length: int
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "d", "multi", "hot", "w", "bytes"]
-        for batch in batches:
+        for batch in (run for whole in batches for run in small_runs(whole, whole.column("text"))):
             for text, items in zip(batch.column("text"), batch.column("items"), strict=True):
                 data, items = text.as_py().encode(), items.values
                 p, w = items.field("p").to_numpy(), items.field("w").to_numpy()
@@ -318,7 +328,7 @@ def remove_repeats(
     )
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (run for whole in batches for run in small_runs(whole, whole.column("row").field(text))):
             answers = []
             bodies = batch.column("row").field(text)
             for body, found, single in zip(bodies, batch.column("spans"), batch.column("single"), strict=True):

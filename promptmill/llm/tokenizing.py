@@ -56,10 +56,10 @@ def text_encoder(ranks_path: str) -> TextEncoder:
     return TextEncoder(ranks_path)
 
 
-def _slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def small_runs(batch: pa.RecordBatch, texts: pa.Array, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in runs of rows whose texts together stay near ``most`` bytes."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    run = np.cumsum(sizes) // most
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes, dtype=np.int64) // most
     starts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
     for begin, end in zip(starts, starts[1:], strict=False):
         if end > begin:
@@ -96,7 +96,7 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = text_encoder(ranks_path).encode
         for whole in batches:
-            for batch in _slices(whole, "_text"):
+            for batch in small_runs(whole, whole.column("_text")):
                 rows, piece, start, ids = [], [], [], []
                 for row, text in enumerate(batch.column("_text").to_pylist()):
                     raw = encode(text) + closing
@@ -128,7 +128,7 @@ def token_lengths(docs: DataFrame, text: str = "text", ranks_path: str = RANKS)
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = text_encoder(ranks_path).encode
         for whole in batches:
-            for batch in _slices(whole, "_text"):
+            for batch in small_runs(whole, whole.column("_text")):
                 lengths = [len(encode(text)) // 4 for text in batch.column("_text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64())], ["n_tokens"])
 
