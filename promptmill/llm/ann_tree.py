@@ -18,7 +18,8 @@ FIT_ROWS = 20_000  # vectors that the tree is fitted on, at most
 LEAF_ROWS = 256  # rows aimed at for a leaf, as far as MAX_LEAVES allows
 MAX_LEAVES = 2_048
 BRANCHES = 8
-BLOCK_ROWS = 4_096
+PARTS = 64  # runs of leaves that are compared together
+LEAST_BLOCK, MOST_BLOCK = 256, 65_536
 CALIBRATION = 256  # queries whose true neighbours are found to set the number of leaf visits
 
 
@@ -119,23 +120,20 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def top_k(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Each query's ``k`` nearest of ``rows``, itself left out; ties go to the smaller id."""
+    """Each query's ``k`` nearest of the rows in its ``leaves``, itself left out; ties go to the smaller id."""
     found = []
-    base, ids = _matrix(rows["vector"]), rows["id"].to_numpy(np.int64)
-    order = np.argsort(ids, kind="stable")
-    base, ids = base[order], ids[order]
-    for query_id, vector in zip(queries["query_id"].tolist(), _matrix(queries["vector"]), strict=True):
-        gap = base - vector
+    rows = rows.sort_values("id", kind="stable")
+    base, ids, leaf = _matrix(rows["vector"]), rows["id"].to_numpy(np.int64), rows["leaf"].to_numpy(np.int64)
+    for query_id, vector, leaves in queries[["query_id", "vector", "leaves"]].itertuples(index=False):
+        inside = np.flatnonzero(np.isin(leaf, leaves) & (ids != query_id))
+        gap = base[inside] - np.asarray(vector, dtype=np.float64)
         distance = np.sqrt(np.einsum("ij,ij->i", gap, gap))
-        distance[ids == query_id] = np.inf
-        if k < len(ids):
-            edge = np.partition(distance, k - 1)[k - 1]
-            near = np.flatnonzero(distance <= edge)
+        if k < len(inside):
+            near = np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1])
         else:
-            near = np.arange(len(ids))
+            near = np.arange(len(inside))
         near = near[np.argsort(distance[near], kind="stable")][:k]
-        near = near[np.isfinite(distance[near])]
-        found.append(pd.DataFrame({"query_id": query_id, "id": ids[near], "score": distance[near]}))
+        found.append(pd.DataFrame({"query_id": query_id, "id": ids[inside[near]], "score": distance[near]}))
     columns = {"query_id": "int64", "id": "int64", "score": "float64"}
     return pd.concat(found).astype(columns) if found else pd.DataFrame(columns=list(columns)).astype(columns)
 
@@ -162,13 +160,13 @@ def _paired(rows: DataFrame, queries: DataFrame, blocks: DataFrame, k: int) -> D
         rows.join(F.broadcast(blocks), "part")
         .withColumn("r", F.pmod(F.xxhash64("id"), F.col("row_blocks")))
         .withColumn("q", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("query_blocks") - 1)))
-        .select("part", "r", "q", "id", "vector")
+        .select("part", "r", "q", "id", "vector", "leaf")
     )
     right = (
         queries.join(F.broadcast(blocks), "part")
         .withColumn("q", F.pmod(F.xxhash64("query_id"), F.col("query_blocks")))
         .withColumn("r", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("row_blocks") - 1)))
-        .select("part", "r", "q", "query_id", "vector")
+        .select("part", "r", "q", "query_id", "vector", "leaves")
     )
     keys = ["part", "r", "q"]
     return (
@@ -179,8 +177,9 @@ def _paired(rows: DataFrame, queries: DataFrame, blocks: DataFrame, k: int) -> D
 
 
 def _blocks(spark, rows: dict[int, int], queries: dict[int, int]) -> DataFrame:
-    most = max(256, min(BLOCK_ROWS, 2 * max(1, sum(rows.values()) // max(len(rows), 1))))
-    table = [(p, -(-n // most), max(1, -(-queries.get(p, 0) // BLOCK_ROWS))) for p, n in rows.items()]
+    """Blocks stay near the mean size of a part, between the bounds; no task holds a larger one."""
+    most = max(LEAST_BLOCK, min(MOST_BLOCK, 2 * sum(rows.values()) // max(len(rows), 1)))
+    table = [(p, -(-n // most), max(1, -(-queries.get(p, 0) // MOST_BLOCK))) for p, n in rows.items()]
     return spark.createDataFrame(table, "part bigint, row_blocks bigint, query_blocks bigint")
 
 
@@ -214,52 +213,69 @@ def nearest_neighbours(
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).select("vector").toPandas()
     tree = fit_tree(_matrix(sample["vector"]), min(max(1, n // LEAF_ROWS), MAX_LEAVES))
 
+    per_part = -(-tree.leaves // PARTS)
+
     def to_leaf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                yield batch.assign(part=tree.assign(_matrix(batch["vector"])))
-
-    indexed = stage(rows.mapInPandas(to_leaf, T.StructType([*rows.schema, T.StructField("part", T.LongType())])), "leaves")
-    filled = {r["part"]: r["n"] for r in indexed.groupBy("part").agg(F.count("*").alias("n")).collect()}
+                leaf = tree.assign(_matrix(batch["vector"]))
+                yield batch.assign(leaf=leaf, part=leaf // per_part)
+
+    places = [T.StructField("leaf", T.LongType()), T.StructField("part", T.LongType())]
+    indexed = stage(rows.mapInPandas(to_leaf, T.StructType([*rows.schema, *places])), "leaves")
+    filled = {r["leaf"]: r["n"] for r in indexed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+    sizes: dict[int, int] = {}
+    for leaf, rows_in in filled.items():
+        sizes[leaf // per_part] = sizes.get(leaf // per_part, 0) + rows_in
     asking = indexed.filter("asks")
-    visits = _calibrated(indexed, asking, tree, filled, k, recall)
+    visits = _calibrated(indexed, asking, tree, sizes, k, recall)
 
     routed_schema = T.StructType(
-        [T.StructField("query_id", T.LongType()), rows.schema["vector"], T.StructField("part", T.LongType())]
+        [
+            T.StructField("query_id", T.LongType()),
+            rows.schema["vector"],
+            T.StructField("part", T.LongType()),
+            T.StructField("leaves", T.ArrayType(T.LongType())),
+        ]
     )
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for query_id, vector in zip(batch["id"].tolist(), batch["vector"].tolist(), strict=True):
-                bins, met = [], 0
+                bins: dict[int, list[int]] = {}
+                visited, met = 0, 0
                 for leaf in tree.best_bins(np.asarray(vector, dtype=np.float64)):
-                    if len(bins) >= visits and met > k:
+                    if visited >= visits and met > k:
                         break
-                    bins.append(leaf)
+                    visited += 1
                     met += filled.get(leaf, 0)
-                bins = [b for b in bins if b in filled]
-                yield pd.DataFrame({"query_id": query_id, "vector": [vector] * len(bins), "part": bins})
+                    if leaf in filled:
+                        bins.setdefault(leaf // per_part, []).append(leaf)
+                parts = {"part": list(bins), "leaves": list(bins.values())}
+                yield pd.DataFrame({"query_id": query_id, "vector": [vector] * len(bins), **parts})
 
     routed = stage(asking.mapInPandas(route, routed_schema), "routes")
     asked = {r["part"]: r["n"] for r in routed.groupBy("part").agg(F.count("*").alias("n")).collect()}
-    blocks = _blocks(spark, {p: n for p, n in filled.items() if p in asked}, asked)
-    found = _paired(indexed.select("id", "vector", "part"), routed, blocks, k)
+    blocks = _blocks(spark, {p: n for p, n in sizes.items() if p in asked}, asked)
+    found = _paired(indexed.select("id", "vector", "leaf", "part"), routed, blocks, k)
     return best_of(found, k).withColumn("leaves", F.lit(visits))
 
 
 def _calibrated(
-    indexed: DataFrame, asking: DataFrame, tree: Tree, filled: dict[int, int], k: int, recall: float
+    indexed: DataFrame, asking: DataFrame, tree: Tree, sizes: dict[int, int], k: int, recall: float
 ) -> int:
     """The number of leaf visits with which the calibration queries meet ``recall`` of their true neighbours."""
-    spark = indexed.sparkSession
+    if not sizes:
+        return 1
     trial = asking.orderBy(F.xxhash64("id", F.lit(5)), "id").limit(CALIBRATION).select(F.col("id").alias("query_id"), "vector")
     trial = stage(trial, "calibration")
-    parts = sorted(filled)
-    every = F.explode(F.array(*[F.lit(int(p)).cast("bigint") for p in parts])) if parts else F.lit(0).cast("bigint")
-    blocks = _blocks(spark, filled, {p: CALIBRATION for p in parts})
-    met = trial.withColumn("part", every)
-    true = best_of(_paired(indexed.select("id", "vector", "part"), met, blocks, k), k)
-    where = true.join(indexed.select("id", F.col("part").alias("leaf")), "id").select("query_id", "leaf").toPandas()
+    parts = sorted(sizes)
+    every = F.explode(F.array(*[F.lit(int(p)).cast("bigint") for p in parts]))
+    leaves = F.sequence(F.lit(0).cast("bigint"), F.lit(tree.leaves - 1).cast("bigint"))
+    blocks = _blocks(indexed.sparkSession, sizes, {p: CALIBRATION for p in parts})
+    met = trial.select("*", every.alias("part")).withColumn("leaves", leaves)
+    true = best_of(_paired(indexed.select("id", "vector", "leaf", "part"), met, blocks, k), k)
+    where = true.join(indexed.select("id", "leaf"), "id").select("query_id", "leaf").toPandas()
     order = {
         r["query_id"]: {leaf: i for i, leaf in enumerate(tree.best_bins(np.asarray(r["vector"], dtype=np.float64)))}
         for r in trial.collect()
