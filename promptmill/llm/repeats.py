@@ -20,6 +20,7 @@ GRAM = 32  # bytes whose hash may stand for a window
 CHUNK = 1 << 20  # windows looked at together
 BLOCK = 1 << 18  # bytes indexed together
 MOST_SEGMENTS = 256  # of one anchor that are indexed together
+STRIDE = 16  # windows of a common anchor that are counted as one run first
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -132,39 +133,71 @@ def _indexed(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFr
         yield _indexed_block(pd.concat(waiting), length)
 
 
+def _pieces(data: bytes, anchor: int, length: int, stride: int) -> pd.DataFrame:
+    """A segment's windows in runs by the anchor's place in them, ``stride`` places a run.
+
+    Equal windows have their anchor at the same place, so they meet in runs of one ``b`` that
+    agree in ``core``, the bytes which every window of such a run has in common.
+    """
+    rolling = RollingHash(data)
+    hashes = rolling.windows(length).view(np.int64)
+    grams = rolling.windows(min(GRAM, length)).view(np.int64)
+    place = int(np.argmax(grams == anchor)) - np.arange(len(hashes))
+    b = place // stride
+    s = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
+    n = np.diff(np.append(s, len(b)))
+    core = int(place[0]) - b[s] * stride
+    return pd.DataFrame(
+        {
+            "b": b[s],
+            "core": rolling.of(core, core + length - stride + 1).view(np.int64),
+            "j": place[s],
+            "n": n,
+            "digest": rolling.of(s, s + n + length - 1).view(np.int64),
+            "s": s,
+            "h": np.split(hashes, s[1:]),
+        }
+    )
+
+
 def _counted_windows(segments: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many different segments: windows are counted one by one."""
+    """The same for anchors with very many different segments: windows are counted.
 
-    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Runs of windows are counted first; equal runs go on as one. Only where different runs
+    have a core in common are their windows counted one by one.
+    """
+    stride = min(STRIDE, length)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
             for at in range(0, len(whole), 1_000):
-                batch = whole.iloc[at : at + 1_000]
-                w = batch["w"].to_numpy(np.int64)
-                hashes = [RollingHash(data).windows(length).view(np.int64) for data in batch["bytes"]]
-                yield pd.DataFrame(
-                    {
-                        "a": np.repeat(batch["a"].to_numpy(np.int64), w),
-                        "h": np.concatenate(hashes),
-                        "d": np.repeat(batch["d"].to_numpy(np.int64), w),
-                        "i": np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w),
-                        "n": np.repeat(1 + batch["multi"].to_numpy(np.int64), w),
-                    }
-                )
-
-    every = stage(segments.mapInPandas(windows, "a bigint, h bigint, d bigint, i int, n int"), "windows")
-    again = every.groupBy("a", "h").agg(F.sum("n").alias("n")).filter("n > 1").select("a", "h")
-    hit = every.join(again, ["a", "h"], "left_semi").groupBy("a", "d").agg(F.collect_set("i").alias("at"))
+                rows = whole.iloc[at : at + 1_000][["a", "d", "bytes"]].itertuples(index=False)
+                yield pd.concat([_pieces(data, a, length, stride).assign(a=a, d=d) for a, d, data in rows])
+
+    schema = "b int, core bigint, j int, n int, digest bigint, s int, h array<bigint>, a bigint, d bigint"
+    pieces = stage(segments.mapInPandas(cut, schema), "runs")
+    key = ["a", "b", "core", "j", "n", "digest"]
+    kinds = pieces.groupBy(*key).agg(
+        F.count("*").alias("m"), F.min("d").alias("d"), F.min("s").alias("s"), F.first("h").alias("h")
+    )
+    kinds = stage(kinds, "kinds-of-runs")
+    equal = pieces.join(kinds.filter("m > 1").select(*key), key, "left_semi")
+    mixed = kinds.groupBy("a", "b", "core").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    opened = kinds.join(mixed.select("a", "b", "core"), ["a", "b", "core"], "left_semi")
+    opened = stage(opened.select("a", "d", "s", "m", F.posexplode("h").alias("i", "x")), "windows")
+    again = opened.groupBy("a", "x").agg(F.count("*").alias("n")).filter("n > 1").select("a", "x")
+    hit = opened.filter("m = 1").join(again, ["a", "x"], "left_semi").withColumn("s", F.col("s") + F.col("i"))
+    every = equal.select("a", "d", "s", (F.col("s") + F.col("n")).alias("e")).union(
+        hit.select("a", "d", "s", (F.col("s") + 1).alias("e"))
+    )
 
     def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            runs = []
-            for at in batch["at"]:
-                flags = np.zeros(max(at) + 1, dtype=bool)
-                flags[np.asarray(at)] = True
-                runs.append(_runs(flags))
+            runs = [merged([(r["s"], r["e"]) for r in found]) for found in batch["runs"]]
+            runs = [[{"s": s, "e": e} for s, e in found] for found in runs]
             yield pd.DataFrame({"a": batch["a"], "d": batch["d"], "runs": runs})
 
-    return hit.mapInPandas(joined, _FLAGS)
+    return every.groupBy("a", "d").agg(F.collect_list(F.struct("s", "e")).alias("runs")).mapInPandas(joined, _FLAGS)
 
 
 def _anchors(keyed: DataFrame, length: int) -> DataFrame:

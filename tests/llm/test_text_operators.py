@@ -269,6 +269,26 @@ def test_repeats(tricky, monkeypatch, most):
     assert got == want and set(tricky.columns) < set(found[0].asDict())
 
 
+def test_equal_windows_meet_in_one_core():
+    draw = random.Random(9)
+    shared = bytes(draw.choice(b"abcd") for _ in range(90))
+    for length in (8, 40, 60):
+        met = {}
+        for _ in range(12):
+            a, b = draw.randint(0, 30), draw.randint(50, 90)
+            sides = [bytes(draw.choice(b"abcd") for _ in range(draw.randint(0, 40))) for _ in range(2)]
+            data = sides[0] + shared[a:b] + sides[1]
+            found = repeats.segments_of(data, length)
+            for anchor, begin, count in zip(found.anchor.tolist(), found.begin.tolist(), found.windows.tolist(), strict=True):
+                segment = data[begin : begin + count + length - 1]
+                pieces = repeats._pieces(segment, anchor, length, min(repeats.STRIDE, length))
+                assert pieces["n"].sum() == count
+                for piece in pieces.itertuples():
+                    for i in range(piece.s, piece.s + piece.n):
+                        met.setdefault(segment[i : i + length], set()).add((anchor, piece.b, piece.core, piece.h[i - piece.s]))
+        assert {len(places) for places in met.values()} == {1}
+
+
 def test_repeats_query(spark):
     texts = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     want = {r["doc_id"]: hashlib.sha256(x[0]).hexdigest() for r, x in zip(texts, slow_repeats([r["text"] for r in texts], 200), strict=True)}
