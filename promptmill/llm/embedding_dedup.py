@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,13 +18,15 @@ from promptmill.staging import stage
 
 WINDOW = 32
 BITS = 64
+PASS_PAIRS = 1_000  # compared pairs that cost as much as a row in a pass, about
 LEAST_BLOCK, MOST_BLOCK, BLOCKS = 256, 8_192, 16
 
 
 def passes_needed(rows: int, threshold: float, window: int = WINDOW, miss: float = 1e-3) -> int:
-    """Passes after which a pair just at the threshold was in no window with probability ``miss``.
+    """Passes after which a pair just at the threshold was in no window with probability ``miss``, if hashes spread evenly.
 
     Two vectors meet if their hashes agree in the bits that tell ``rows / window`` places apart.
+    In dense regions it takes more bits; :func:`near_links` measures how many.
     """
     together = (1 - math.acos(threshold) / math.pi) ** max(math.log2(max(rows, 1) / window), 0.0)
     return 1 if together >= 1 else max(1, math.ceil(math.log(miss) / math.log(1 - together)))
@@ -60,9 +63,44 @@ class _Union:
             self.root[max(a, b)] = min(a, b)
 
 
+def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many leading bits two keys have in common."""
+    apart = a.view(np.uint64) ^ b.view(np.uint64)
+    high, low = (np.frexp(half.astype(np.float64))[1] for half in (apart >> np.uint64(32), apart & np.uint64(0xFFFFFFFF)))
+    return 64 - np.where(high > 0, high + 32, low)
+
+
+def _crowding(keys: np.ndarray, window: int, cut_before: bool, cut_after: bool) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the sorted keys the fewest leading bits that no more than ``window`` others share, and if that is sure.
+
+    It is not where a task's edge may hide others that share them.
+    """
+    spread = window + 1
+    longest = np.full(len(keys) + spread, -1)
+    if len(keys) > spread:
+        longest[spread : len(keys)] = _shared(keys[:-spread], keys[spread:])
+    bits = np.lib.stride_tricks.sliding_window_view(longest, spread + 1).max(axis=1) + 1
+    sure = np.ones(len(keys), dtype=bool)
+    for cut, edge in ((cut_before, keys[:1]), (cut_after, keys[-1:])):
+        if cut:
+            sure &= bits > _shared(keys, np.repeat(edge, len(keys)))
+    return bits, sure
+
+
 def _window_links(batches: Iterator[pd.DataFrame], threshold: float, window: int) -> Iterator[pd.DataFrame]:
-    """Compare each row with the ``window`` rows before it; the rows of a pass follow each other in order."""
-    union, tail = _Union(), None
+    """Compare each row with the ``window`` rows before it; the rows of a pass follow each other in order.
+
+    Besides the links ``a, b`` each row ``a`` comes out with the ``bits`` of its crowding
+    in the pass, for which a task keeps 16 bytes a row of a pass.
+    """
+    union, tail, current, cut_before, held = _Union(), None, None, True, []
+
+    def crowded(cut_after: bool) -> pd.DataFrame:
+        keys, nodes = (np.concatenate(parts) for parts in zip(*held, strict=True))
+        bits, sure = _crowding(keys, window, cut_before, cut_after)
+        none = pd.array([None] * int(sure.sum()), dtype="Int64")
+        return pd.DataFrame({"a": nodes[sure], "b": none, "bits": pd.array(bits[sure], dtype="Int64")})
+
     for batch in batches:
         if not len(batch):
             continue
@@ -78,20 +116,32 @@ def _window_links(batches: Iterator[pd.DataFrame], threshold: float, window: int
                 near &= (run[ahead] == run[behind]) & (ahead >= old)
                 for a, b in zip(node[behind[near]].tolist(), node[ahead[near]].tolist(), strict=True):
                     union.join(a, b)
+        key = rows["key"].to_numpy(np.int64)
+        bounds = [old, *(old + 1 + np.flatnonzero(np.diff(run[old:]))).tolist(), len(rows)]
+        for begin, end in zip(bounds, bounds[1:], strict=False):
+            if current is not None and run[begin] != current:
+                yield crowded(False)
+                cut_before, held = False, []
+            current = run[begin]
+            held.append((key[begin:end].copy(), node[begin:end].copy()))
         tail = rows.iloc[-window:]
+    if held:
+        yield crowded(True)
     linked = list(union.root)
-    yield pd.DataFrame({"a": linked, "b": [union.find(x) for x in linked]}, dtype="int64")
+    none = pd.array([None] * len(linked), dtype="Int64")
+    yield pd.DataFrame({"a": linked, "b": pd.array([union.find(x) for x in linked], dtype="Int64"), "bits": none})
 
 
-def sorted_passes(classes: DataFrame, threshold: float, window: int = WINDOW, miss: float = 1e-3, seed: int = 7) -> DataFrame:
-    """Links ``a, b`` between nodes whose vectors were neighbours in some pass and have the cosine.
+def sorted_passes(classes: DataFrame, threshold: float, passes: int, first: int = 0, window: int = WINDOW, seed: int = 7) -> DataFrame:
+    """Links ``a, b`` between nodes whose vectors were neighbours in some pass and have the cosine, and crowding.
 
-    ``classes`` has ``node`` and ``vector``, all vectors different. Each pass orders them by
-    the concatenated bits of its own random hashes. A task has a run of the order; what its
-    edges cut apart in one pass meets in the others, whose edges lie elsewhere. Of the
-    pairs found in a run as many come out as connect them.
+    ``classes`` has ``node`` and ``vector``, all vectors different. Passes ``first`` and
+    following order them by the concatenated bits of their own random hashes. A task has a
+    run of the order; of the pairs found in a run as many come out as connect them. Rows
+    ``a, bits`` without ``b`` say for each pass that all nodes that share so many
+    bits with ``a`` were compared with it; near the edge of a task that may not be, and
+    then there is no such row.
     """
-    passes = passes_needed(classes.count(), threshold, window, miss)
     vector = classes.schema["vector"]
     longs = ("number", "width", "key", "node")
     schema = T.StructType([*[T.StructField(c, T.LongType()) for c in longs], T.StructField("vector", vector.dataType)])
@@ -102,7 +152,7 @@ def sorted_passes(classes: DataFrame, threshold: float, window: int = WINDOW, mi
             for width in widths.unique().tolist():
                 part = batch[widths == width]
                 matrix = np.stack(part["vector"].to_numpy()).astype(np.float64)
-                for number in range(passes):
+                for number in range(first, first + passes):
                     yield pd.DataFrame(
                         {
                             "number": number,
@@ -117,7 +167,91 @@ def sorted_passes(classes: DataFrame, threshold: float, window: int = WINDOW, mi
     tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = classes.select("node", "vector").mapInPandas(hashed, schema)
     placed = keyed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
-    return placed.mapInPandas(lambda batches: _window_links(batches, threshold, window), "a bigint, b bigint")
+    return placed.mapInPandas(lambda batches: _window_links(batches, threshold, window), "a bigint, b bigint, bits bigint")
+
+
+def _tile_links(left: pd.DataFrame, right: pd.DataFrame | None, threshold: float) -> pd.DataFrame:
+    """Links that join all pairs of a tile, or of two, that have the cosine."""
+    nodes = (left if right is None else pd.concat([left, right]))["node"].to_numpy(np.int64)
+    mine = _units(left["vector"])
+    theirs, shift = (mine, 0) if right is None else (_units(right["vector"]), len(left))
+    root = np.arange(len(nodes))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return int(x)
+
+    for at in range(0, len(mine), 512):
+        near = mine[at : at + 512] @ theirs.T >= threshold
+        if right is None:
+            near[np.arange(len(near)), np.arange(at, at + len(near))] = False
+        for row in np.flatnonzero(near.any(axis=1)).tolist():
+            members, head = np.flatnonzero(near[row]) + shift, find(at + row)
+            if (root[members] != head).any():
+                heads = [head, *map(find, np.unique(root[members]).tolist())]
+                root[heads] = min(heads)
+                root[members] = min(heads)
+    member = np.flatnonzero(root != np.arange(len(root)))
+    return pd.DataFrame({"a": nodes[member], "b": nodes[[find(x) for x in member.tolist()]]}, dtype="int64")
+
+
+def all_pairs(classes: DataFrame, threshold: float) -> DataFrame:
+    """Links ``a, b`` that join all nodes whose vectors have the cosine: every pair is compared, tile by tile."""
+    sizes = classes.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("size"))
+    block = F.least(F.greatest(F.col("size") / BLOCKS, F.lit(LEAST_BLOCK)), F.lit(MOST_BLOCK))
+    cut = classes.select("node", "vector", F.size("vector").alias("width"))
+    cut = cut.join(sizes.select("width", F.ceil(F.col("size") / block).alias("blocks")), "width")
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(
+        "width", "node", "vector", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first")
+    )
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        first = group["first"].to_numpy(bool)
+        if group["i"].iloc[0] == group["j"].iloc[0]:
+            return _tile_links(group, None, threshold)
+        if first.all() or not first.any():
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        return _tile_links(group[first], group[~first], threshold)
+
+    return met.groupBy("width", "i", "j").applyInPandas(compare, "a bigint, b bigint")
+
+
+def near_links(classes: DataFrame, threshold: float, window: int = WINDOW, miss: float = 1e-3) -> DataFrame:
+    """Links ``a, b`` that join the nodes whose vectors have the cosine.
+
+    Passes go on until they are known to do. After each round of passes the bits that a
+    node's neighbourhood took to fit into a window, at most, and the passes give the
+    probability that a vector just at the threshold was not compared with it. Nodes for
+    which it is over ``miss`` go through more passes among themselves (a pair is settled
+    if one of its nodes is), or, where comparing all their pairs costs less, as
+    it does in dense regions and in small tables, are compared with each other exactly.
+    """
+    same, goal = 1 - math.acos(threshold) / math.pi, math.log(miss)
+
+    def doubt(bits: Column) -> Column:
+        """Logarithm of the probability that one pass misses a pair that needs so many equal bits."""
+        return F.log1p(-F.least(F.pow(F.lit(same), bits), F.lit(1 - 1e-9)))
+
+    left = classes.select("node", "vector", F.lit(0.0).alias("doubt"))
+    found, first, size = [], 0, classes.count()
+    passes, before = passes_needed(size, threshold, window, miss), None
+    while passes * PASS_PAIRS < size / 2 and (before is None or not first or size <= 0.75 * before):
+        met = stage(sorted_passes(left, threshold, passes, first, window), "passes")
+        found.append(met.filter("b IS NOT NULL").select("a", "b"))
+        known = met.filter("b IS NULL").groupBy(F.col("a").alias("node"))
+        known = known.agg(F.max("bits").alias("bits"), F.count("*").alias("passes"))
+        summed = F.col("doubt") + F.coalesce(F.col("passes") * doubt(F.col("bits")), F.lit(0.0))
+        need = F.ceil((F.lit(goal) - F.col("doubt")) / doubt(F.coalesce("bits", F.lit(BITS)) + 1))
+        left = left.join(known, "node", "left").withColumn("doubt", summed).filter(F.col("doubt") > goal)
+        left = stage(left.select("node", "vector", "doubt", need.alias("need")), "unsettled")
+        before, first = size if first else None, first + passes
+        size, passes = left.agg(F.count("*"), F.percentile_approx("need", 0.75)).first()
+        if not size:
+            return reduce(DataFrame.union, found)
+    return reduce(DataFrame.union, [*found, all_pairs(left, threshold)])
 
 
 def _counted(members: DataFrame, threshold: float) -> DataFrame:
@@ -162,10 +296,9 @@ def near_vectors(
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row.
 
-    Equal vectors form a class; classes go through :func:`sorted_passes` and their
-    links are united over all passes. A pair just at the threshold is missed with
-    probability ``miss``, nearer ones more rarely; the number of passes follows from
-    it and from the number of rows. Links are then counted exactly within each
+    Equal vectors form a class; classes go through :func:`near_links`. A pair just at
+    the threshold is missed with probability ``miss`` at most, nearer ones more rarely,
+    and none where all pairs are compared. Links are then counted exactly within each
     component. Vectors of different length, and those that are null, zero or not
     finite, link with nothing. The smallest ``vec_id`` of a component is kept.
     Ids must be whole numbers; rows of one id count as one more copy each.
@@ -179,7 +312,7 @@ def near_vectors(
     )
     good = rows.filter("vector IS NOT NULL AND vec_id IS NOT NULL")
     classes = stage(good.groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "classes")
-    parts = stage(connected_components(sorted_passes(classes, threshold, window, miss)), "components")
+    parts = stage(connected_components(near_links(classes, threshold, window, miss)), "components")
     links = _counted(classes.join(parts, "node").select("component", "node", "vector", "copies"), threshold)
     known = (
         classes.join(parts, "node", "left")

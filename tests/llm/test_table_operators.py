@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from promptmill.llm import sharding
+from promptmill.llm import embedding_dedup, sharding
 from promptmill.llm.ann_tree import fit_tree, nearest_neighbours
 from promptmill.llm.embedding_dedup import near_vectors, passes_needed
 from promptmill.llm.mixing import mix, rake
@@ -106,6 +106,43 @@ def test_passes_grow_slowly():
     assert passes_needed(10_000, 0.9) < passes_needed(1_000_000, 0.9) < 200
 
 
+def dense_third(rows, seed=3, width=512):
+    """A third of the rows has mutual cosines of about 0.88; pairs of it, returned, are at 0.902 and have few other links."""
+    draw = np.random.default_rng(seed)
+    unit = lambda m: m / np.linalg.norm(m, axis=-1, keepdims=True)
+    count = rows // 6
+    centre = unit(draw.normal(size=width))
+    side = draw.normal(size=(2, count, width))
+    side = unit(side - (side @ centre)[..., None] * centre)
+    across = unit(side[1] - (side[1] * side[0]).sum(axis=1, keepdims=True) * side[0])
+    u = (0.902 - 0.88) / 0.12
+    partner = u * side[0] + np.sqrt(1 - u * u) * across
+    dense = np.sqrt(0.88) * centre + np.sqrt(0.12) * np.concatenate([side[0], partner])
+    return np.concatenate([dense, draw.normal(size=(rows - 2 * count, width))]), [(i, i + count) for i in range(count)]
+
+
+@pytest.mark.parametrize("pass_pairs", [None, 4])
+def test_near_vectors_in_a_dense_third(spark, monkeypatch, pass_pairs):
+    """With ``pass_pairs`` 4 the rows go through passes first."""
+    if pass_pairs:
+        monkeypatch.setattr(embedding_dedup, "PASS_PAIRS", pass_pairs)
+    matrix, pairs = dense_third(1_500)
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(matrix.tolist())], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["component_id"] for r in near_vectors(table).collect()}
+    assert len(got) == 1_500 and sum(got[a] == got[b] for a, b in pairs) >= 0.99 * len(pairs)
+
+
+def test_crowding_is_that_of_prefixes():
+    draw = np.random.default_rng(8)
+    keys = np.sort(np.concatenate([draw.integers(-(1 << 63), 1 << 63, 60), draw.integers(0, 1 << 40, 60), [5] * 9]))
+    text = [f"{(int(k) + (1 << 63)):064b}" for k in keys]
+    bits, sure = embedding_dedup._crowding(keys, 6, False, True)
+    for i, k in enumerate(text):
+        few = [b for b in range(65) if sum(t[:b] == k[:b] for t in text) <= 7]
+        assert bits[i] == (few[0] if few else 65)
+        assert sure[i] == (text[-1][: bits[i]] != k[: bits[i]])
+
+
 def best_capacity(sizes, shards):
     """Minimax by plain dynamic programming."""
     best = [0, *np.cumsum(sizes).tolist()]
