@@ -149,13 +149,14 @@ class LanguageModel:
 def viterbi(emitted: np.ndarray, penalty: float) -> np.ndarray:
     """The best labels of a row of words, if every change of language costs ``penalty``.
 
-    If no stretch of words gains ``penalty`` in any other language over the best single
-    language, then no change can pay, and that language is the answer for all words.
+    If no stretch of words gains half of ``penalty`` in any other language over the best
+    single language, then that language is the answer for all words: a path with ``m``
+    stretches in other languages has one change at least, and ``m - 1``, so ``m / 2``.
     """
     single = int(emitted.sum(axis=0).argmax())
     lead = np.cumsum(emitted[:, [single]] - emitted, axis=0)
     highest = np.maximum.accumulate(np.vstack([np.zeros((1, lead.shape[1])), lead[:-1]]), axis=0)
-    if (highest - lead).max() < penalty:
+    if (highest - lead).max() < penalty / 2:
         return np.full(len(emitted), single)
     rows = emitted.tolist()
     best, back = rows[0], []

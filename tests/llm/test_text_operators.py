@@ -132,6 +132,11 @@ def test_viterbi_equals_plain_dynamic_programming():
         assert score(viterbi(emitted, 2.5).tolist()) == pytest.approx(max(map(score, paths)))
 
 
+def test_viterbi_changes_between_two_languages_that_are_not_the_best_single_one():
+    emitted = np.array([[0, -2.5, -6]] * 4 + [[-6, -2.5, 0]] * 4)
+    assert viterbi(emitted, 12.0).tolist() == [0] * 4 + [2] * 4
+
+
 def test_language_accuracy_and_spans(spark):
     rows = QUERIES["op5_language_id"](spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
