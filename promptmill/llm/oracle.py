@@ -127,4 +127,34 @@ FROM docs JOIN rates USING (source, language, topic)
 """
 
 
-ORACLE: dict[str, str] = {"op6_url_filters": URL_FILTERS, "op8_mixing_weights": mixing_sql()}
+def clusters_sql(centroids: int = 16, rounds: int = 3) -> str:
+    """Rounds written out one after the other; a centroid is a list of its 64 components."""
+    steps = ["""whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = 64)"""]
+    steps.append(f"""c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256(concat('1:', vec_id::VARCHAR))) - 1 AS c, v
+  FROM whole ORDER BY sha256(concat('1:', vec_id::VARCHAR)) LIMIT {centroids})""")
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS (
+  SELECT vec_id, w.v, c, list_sum(list_transform(list_zip(w.v, k.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+  FROM whole w CROSS JOIN c{i} k QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1)""")
+        if i < rounds:
+            steps.append(f"""s{i} AS (
+  SELECT c, j, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS m
+  FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM a{i}) GROUP BY c, j),
+m{i} AS (SELECT c, list(m::BIGINT ORDER BY j) AS v FROM s{i} GROUP BY c),
+c{i + 1} AS (SELECT k.c, coalesce(m.v, k.v) AS v FROM c{i} k LEFT JOIN m{i} m ON m.c = k.c)""")
+    last = rounds
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, a.c::INT AS cluster, d AS distance, sum(d) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia,
+       sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(k.v, ',')) AS centroid_sha256
+FROM a{last} a JOIN c{last} k ON k.c = a.c"""
+
+
+ORACLE: dict[str, str] = {
+    "op6_url_filters": URL_FILTERS,
+    "op8_mixing_weights": mixing_sql(),
+    "op12_centroid_clusters": clusters_sql(),
+}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptmill.llm.ann_tree import nearest_neighbours
+from promptmill.llm.bit_clusters import cluster_vectors
 from promptmill.llm.embedding_dedup import near_vectors
 from promptmill.llm.language_id import fit_languages, label_languages
 from promptmill.llm.mixing import estimated_tokens, mix, topic_of
@@ -14,8 +15,10 @@ from promptmill.llm.repeats import remove_repeats
 from promptmill.llm.sharding import minimax_shards
 from promptmill.llm.shipping import shipped
 from promptmill.llm.simhash import simhash_groups
+from promptmill.llm.spelling import spelling_variants, word_counts
 from promptmill.llm.token_counts import context_limits, length_histogram
 from promptmill.llm.tokenizing import token_pieces
+from promptmill.llm.toxicity import fit_toxicity, score_toxicity
 from promptmill.llm.url_reputation import Rule, host_of, judge_urls
 
 RULES = [
@@ -131,6 +134,38 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_limits(length_histogram(table(spark, sf_dir, "documents").select("text")))
 
 
+def spelled_words(docs: DataFrame) -> DataFrame:
+    """``word``: each run of seven letters or more, one letter short where its hash with the id says so.
+
+    A row without doc_id hashes as one with an empty id. Shorter runs can't become words of seven letters.
+    """
+    runs = F.regexp_extract_all("text", F.lit("[A-Za-z\u00C0-\u00FF]{7,}"), F.lit(0))
+    lowered = F.translate("run", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    runs = docs.select("doc_id", F.explode(runs).alias("run")).select("doc_id", lowered.alias("run"))
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    hashed = runs.withColumn("h", F.crc32(F.concat(number, F.lit(":"), "run").cast("binary")))
+    place = (F.col("h") % F.char_length("run")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), place), F.substring("run", place + 2, F.char_length("run")))
+    return hashed.select(F.when(F.col("h") % 31 == 0, cut).otherwise(F.col("run")).alias("word"))
+
+
+def spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelled_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spelling_variants(word_counts(words, least_length=7, least_count=2), ratio=10)
+
+
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    scored = score_toxicity(docs, fit_toxicity(docs, labels))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 _ALL = {
     "op1_nearest_vectors": nearest_vectors,
     "op2_embedding_near_dedup": embedding_near_dedup,
@@ -142,6 +177,9 @@ _ALL = {
     "op8_mixing_weights": mixing_weights,
     "op9_simhash_near_dedup": simhash_near_dedup,
     "op10_token_counts": token_counts,
+    "op11_spelling_variants": spelling_groups,
+    "op12_centroid_clusters": centroid_clusters,
+    "op13_toxicity": toxicity,
 }
 
 QUERIES = {name: shipped(query) for name, query in _ALL.items()}
