@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from catalog.queries import (
     ACCUMULATION,
     BLOCK,
     CAP,
     EPOCHS,
+    FLATTEN,
     MAX_LEN,
     PER_CATEGORY,
     PER_DEVICE,
     SEED,
+    SUBSET,
     SYSTEM,
     WORLD,
 )
@@ -81,6 +85,10 @@ cut AS (
   FROM pieces)"""
 
 
+def piece_id(piece: str) -> str:
+    return f"CAST('0x' || substr(md5({piece}), 1, 7) AS INT)"
+
+
 def ranked(source: str, where: str = "true") -> str:
     return f"""
 ranked AS (
@@ -92,6 +100,74 @@ def n_val(fraction: float = 0.02, n: str = "count(*)") -> str:
     return f"greatest(1, trunc({n} * {fraction}::DOUBLE)::BIGINT)"
 
 
+# The words of the rendered text of both splits, in pieces of four characters.
+PIECES = f"""{RENDERED},{ranked('rendered')},
+labelled AS (
+  SELECT text, CASE WHEN pos < (SELECT {n_val()} FROM ranked) THEN 'validation' ELSE 'train' END AS split FROM ranked),
+ordered AS (
+  SELECT split, regexp_extract_all(text, {WORDS}) AS words,
+         row_number() OVER (PARTITION BY split ORDER BY md5(concat('{SEED}:', text)), md5(text)) - 1 AS p
+  FROM labelled),
+each_word AS (SELECT split, p, unnest(words) AS word, generate_subscripts(words, 1) AS k FROM ordered),
+chopped AS (SELECT split, p, k, word, unnest(range(0, len(word), 4)) AS c FROM each_word),
+pieces_of AS (SELECT split, p, k, c, {piece_id('substr(word, c + 1, 4)')} AS piece_id FROM chopped)"""
+
+
+def template_text(form: str, system: bool) -> str:
+    """What a conversation of one question and one answer looks like."""
+    said = f"'{SYSTEM}'" if system else "'You are a helpful assistant.'"
+    if form == "chatml_assistant":
+        turns = (("'system'", said), ("'user'", "user_text"), ("'assistant'", "output"))
+        return "concat(" + ", ".join(f"'<|im_start|>', {r}, chr(10), {c}, '<|im_end|>', chr(10)" for r, c in turns) + ")"
+    if form == "inst":
+        folded = f"'<<SYS>>', chr(10), '{SYSTEM}', chr(10), '<</SYS>>', chr(10), chr(10), " if system else ""
+        return f"concat('<s>[INST] ', {folded}user_text, ' [/INST] ', output, ' </s>')"
+    folded = f"'{SYSTEM}', chr(10), chr(10), " if system else ""
+    return f"""concat('<bos><start_of_turn>user', chr(10), {folded}user_text, '<end_of_turn>', chr(10),
+                   '<start_of_turn>model', chr(10), output, '<end_of_turn>', chr(10))"""
+
+
+TEMPLATES = " UNION ALL ".join(
+    f"SELECT id, {str(system).lower()} AS system, '{form}' AS form, {template_text(form, system)} AS text FROM complete"
+    for system in (True, False)
+    for form in ("chatml_assistant", "inst", "turns")
+)
+
+
+def mixing_step(x: str, key: str) -> str:
+    word = 1 << 31
+    return f"xor({x} % {word} + ({x} >> 31), {key}) % {word} * 1103515245 % {word} * 739982445 % {word - 1}"
+
+
+def epoch_steps(epochs: int, seed: int = SEED, rounds: int = 6) -> str:
+    """All places of the grid sent on by the rounds, then walked until they lie inside."""
+    columns = [f"k{i}" for i in range(2 * rounds)]
+    keys = ", ".join(
+        f"({e}, " + ", ".join(str(int(hashlib.md5(f"{seed}:{e}:{i}".encode()).hexdigest()[:8], 16) % (1 << 31)) for i in range(2 * rounds)) + ")"
+        for e in range(epochs)
+    )
+    steps = [f"""n_of AS (SELECT count(*) AS n FROM placed_ids),
+sides AS (SELECT n, least(floor(sqrt(n - 1))::BIGINT + 1, 1024) AS a FROM n_of),
+grid AS (SELECT n, a, (n + a - 1) // a AS b FROM sides),
+keys(epoch, {", ".join(columns)}) AS (VALUES {keys}),
+f0 AS (
+  SELECT epoch, n, a, b, place, place % a AS l, place // a AS r, {", ".join(columns)}
+  FROM (SELECT *, unnest(range(a * b)) AS place FROM grid), keys)"""]
+    for i in range(rounds):
+        steps.append(f"h{i} AS (SELECT * REPLACE ((l + {mixing_step('r', f'k{2 * i}')}) % a AS l) FROM f{i})")
+        steps.append(f"f{i + 1} AS (SELECT * REPLACE ((r + {mixing_step('l', f'k{2 * i + 1}')}) % b AS r) FROM h{i})")
+    steps.append(f"sent AS (SELECT epoch, n, place, r * a + l AS goal FROM f{rounds})")
+    steps.append("""walk AS (
+  SELECT epoch, n, place, goal FROM sent WHERE place < n
+  UNION ALL
+  SELECT w.epoch, w.n, w.place, s.goal FROM walk w JOIN sent s ON s.epoch = w.epoch AND s.place = w.goal WHERE w.goal >= w.n)""")
+    steps.append("arrived AS (SELECT epoch, n, place AS pos, goal FROM walk WHERE goal < n)")
+    return ", ".join(steps)
+
+
+EPOCH_ORDER = f"""{RECORDS},{ranked('records')},
+placed_ids AS (SELECT id, pos FROM ranked)"""
+
 # The damage rule of the lines, applied to the records they come from.
 CUT, TRAILING, WRAPPED = "conv_id % 13 = 0", "conv_id % 17 = 0", "conv_id % 19 = 0"
 GOOD = f"NOT ({CUT} OR {TRAILING} OR {WRAPPED})"
@@ -295,10 +371,58 @@ ordered AS (
   FROM labelled),
 each_word AS (SELECT split, p, unnest(words) AS word, generate_subscripts(words, 1) AS k FROM ordered),
 laid AS (
-  SELECT split, p, word, row_number() OVER (PARTITION BY split ORDER BY p, k) - 1 AS at FROM each_word)
-SELECT split, (at // {BLOCK})::BIGINT AS block_id, count(DISTINCT p)::BIGINT AS n_segments,
-       md5(string_agg(word, ' ' ORDER BY at)) AS tokens_md5
-FROM laid GROUP BY split, at // {BLOCK}""",
+  SELECT split, p, word, row_number() OVER (PARTITION BY split ORDER BY p, k) - 1 AS slot FROM each_word)
+SELECT split, (slot // {BLOCK})::BIGINT AS block_id, count(DISTINCT p)::BIGINT AS n_segments,
+       md5(string_agg(word, ' ' ORDER BY slot)) AS tokens_md5
+FROM laid GROUP BY split, slot // {BLOCK}""",
+    "training_block_ids": f"""WITH {PIECES},
+laid AS (
+  SELECT split, p, piece_id, row_number() OVER (PARTITION BY split ORDER BY p, k, c) - 1 AS slot FROM pieces_of),
+placed_ids AS (
+  SELECT *, slot // {BLOCK} AS b, row_number() OVER (PARTITION BY split, p, slot // {BLOCK} ORDER BY slot) - 1 AS own FROM laid)
+SELECT split, b::BIGINT AS block_id, count(DISTINCT p)::BIGINT AS n_segments,
+       md5(string_agg(piece_id::VARCHAR, ' ' ORDER BY slot)) AS ids_md5, md5(string_agg(own::VARCHAR, ' ' ORDER BY slot)) AS places_md5
+FROM placed_ids GROUP BY split, b""",
+    "block_segments": f"""WITH {PIECES}
+SELECT split, p::BIGINT AS pos, count(*)::BIGINT AS n_tokens, md5(string_agg(piece_id::VARCHAR, ' ' ORDER BY k, c)) AS ids_md5
+FROM pieces_of GROUP BY split, p""",
+    "truncate_ids": f"""WITH matches AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[ \\t\\n\\r\\f]*[^ \\t\\n\\r\\f]+') AS found FROM documents),
+each_match AS (SELECT doc_id, unnest(found) AS m, generate_subscripts(found, 1) AS k FROM matches),
+words_of AS (
+  SELECT doc_id, k, regexp_extract(m, {WORDS}) AS word, sum(length(m)) OVER (PARTITION BY doc_id ORDER BY k) AS word_end FROM each_match),
+chopped AS (SELECT *, unnest(range(0, length(word), 4)) AS c FROM words_of),
+each_piece AS (
+  SELECT doc_id, {piece_id('substr(word, c + 1, 4)')} AS piece_id, word_end - length(word) + least(c + 4, length(word)) AS piece_end,
+         row_number() OVER (PARTITION BY doc_id ORDER BY k, c) AS slot FROM chopped),
+summed AS (
+  SELECT doc_id, count(*) AS n, max(piece_end) FILTER (slot <= {MAX_LEN}) AS text_end,
+         md5(string_agg(piece_id::VARCHAR, ' ' ORDER BY slot) FILTER (slot <= {MAX_LEN})) AS ids_md5
+  FROM each_piece GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n, least(coalesce(n, 0), {MAX_LEN})::BIGINT AS n_kept,
+       greatest(coalesce(n, 0) - {MAX_LEN}, 0)::BIGINT AS n_dropped, coalesce(text_end, 0)::BIGINT AS text_end,
+       coalesce(ids_md5, md5('')) AS ids_md5
+FROM documents d LEFT JOIN summed USING (doc_id)""",
+    "render_templates": f"""WITH {COMPLETE} {TEMPLATES}""",
+    "epoch_shards": f"""WITH RECURSIVE {EPOCH_ORDER}, {epoch_steps(EPOCHS)},
+filled AS (SELECT *, unnest(range(goal, (n + {WORLD} - 1) // {WORLD} * {WORLD}, n)) AS slot FROM arrived)
+SELECT epoch::INT AS epoch, (slot % {WORLD})::INT AS rank, slot // {WORLD} AS step, pos, id FROM filled JOIN placed_ids USING (pos)""",
+    "epoch_shards_dropped": f"""WITH RECURSIVE {EPOCH_ORDER}, {epoch_steps(1)}
+SELECT (goal % {WORLD})::INT AS rank, count(*)::BIGINT AS n, count(DISTINCT pos)::BIGINT AS n_pos, max(goal // {WORLD})::BIGINT AS last_step
+FROM arrived WHERE goal < n // {WORLD} * {WORLD} GROUP BY 1""",
+    "weighted_subset": f"""WITH {COMPLETE},
+weighed AS (SELECT id, category, len(regexp_extract_all(output, {WORDS}))::BIGINT AS weight FROM complete),
+sizes AS (SELECT category, count(*) AS available FROM weighed WHERE weight > 0 GROUP BY category),
+shares AS (SELECT category, {SUBSET} * pow(available, {FLATTEN}) / sum(pow(available, {FLATTEN})) OVER () AS part FROM sizes),
+quotas AS (
+  SELECT category, floor(part) + CASE WHEN row_number() OVER (ORDER BY part - floor(part) DESC, category NULLS FIRST)
+                                           <= {SUBSET} - sum(floor(part)) OVER () THEN 1 ELSE 0 END AS quota FROM shares),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY category
+    ORDER BY -ln((CAST('0x' || substr(md5(concat('{SEED}:', id)), 1, 13) AS BIGINT) + 0.5) / 4503599627370496) / weight) AS r
+  FROM weighed WHERE weight > 0)
+SELECT id, r.category, weight FROM ranked r JOIN quotas q ON q.category IS NOT DISTINCT FROM r.category WHERE r <= quota""",
     "eval_results": f"""WITH {RESULTS}
 SELECT run, id, category, prompt_tokens, completion_tokens FROM results""",
     "eval_report": f"""WITH {RESULTS} SELECT run, ord, section FROM sections""",

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import views
-from promptmill.functions import estimate_tokens, tokens
-from promptmill.operators import chat, evaluate, order, profile
+from promptmill.functions import encoder_from, estimate_tokens, tokens
+from promptmill.operators import chat, epochs, evaluate, order, profile, subset, templates
 from promptmill.operators import records as rec
 from promptmill.plans import (
     PrepareConfig,
@@ -38,6 +41,8 @@ PER_CATEGORY = 5
 WORLD = 4
 PROMPTS_PER_FILE = 50
 EPOCHS, PER_DEVICE, ACCUMULATION = 3, 1, 8
+SUBSET, FLATTEN = 40, 0.85
+FORMS = {"chatml_assistant": templates.CHATML_ASSISTANT, "inst": templates.INST, "turns": templates.TURNS}
 
 REPORT_TIME = datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
 
@@ -223,6 +228,42 @@ def token_counter_hook(spark, sf_dir):
     return counted.select("doc_id", "n_tokens")
 
 
+def piece_encoder():
+    """An encoder of the kind a subword tokenizer is: words in pieces of four characters, ids from their digests."""
+
+    def make():
+        word = re.compile(r"[^ \t\n\r\f]+")
+
+        def spans(text):
+            cuts = [(i, min(i + 4, m.end())) for m in word.finditer(text) for i in range(m.start(), m.end(), 4)]
+            ids = [int(hashlib.md5(text[a:b].encode()).hexdigest()[:7], 16) for a, b in cuts]
+            return ids, [a for a, _ in cuts], [b for _, b in cuts]
+
+        return spans
+
+    return encoder_from(make)
+
+
+def joined_ids(ids: str):
+    return F.md5(F.array_join(ids, " ")).alias("ids_md5")
+
+
+def truncate_ids(spark, sf_dir):
+    cut = chat.truncate_encoded(documents(spark, sf_dir).select("doc_id", "text"), piece_encoder(), MAX_LEN)
+    return cut.select("doc_id", "n", "n_kept", "n_dropped", "text_end", joined_ids("ids"))
+
+
+def render_templates(spark, sf_dir):
+    """Three public template forms, with a system message and without."""
+    records = stage(complete(spark, sf_dir), "complete")
+    parts = [
+        rec.to_messages(records, prompt).select("id", F.lit(bool(prompt)).alias("system"), F.lit(name).alias("form"), form.text(F.col("messages")).alias("text"))
+        for prompt in (SYSTEM, "")
+        for name, form in FORMS.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Order and split
 
 
@@ -264,6 +305,27 @@ def assign_shards(spark, sf_dir):
     return sharded.groupBy("rank").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("tokens"))
 
 
+def epoch_shards(spark, sf_dir):
+    """Each worker's examples in three epochs, every one in an order of its own."""
+    placed = stage(order.seeded_order(record_ids(spark, sf_dir), SEED), "placed")
+    n = placed.count()
+    runs = [epochs.epoch_shards(placed, WORLD, epoch, SEED, n).withColumn("epoch", F.lit(epoch)) for epoch in range(EPOCHS)]
+    return reduce(DataFrame.unionByName, runs).select("epoch", "rank", "step", "pos", "id")
+
+
+def epoch_shards_dropped(spark, sf_dir):
+    placed = stage(order.seeded_order(record_ids(spark, sf_dir), SEED), "placed")
+    shards = epochs.epoch_shards(placed, WORLD, epoch=0, seed=SEED, drop_last=True)
+    return shards.groupBy("rank").agg(F.count("*").alias("n"), F.countDistinct("pos").alias("n_pos"), F.max("step").alias("last_step"))
+
+
+def weighted_subset(spark, sf_dir):
+    """Records drawn by the length of their answers, out of categories whose shares are flattened."""
+    records = complete(spark, sf_dir).select("id", "category", estimate_tokens(F.col("output")).alias("weight"))
+    drawn = subset.weighted_subset(records, SUBSET, F.col("weight"), share=F.pow("available", F.lit(FLATTEN)), seed=SEED)
+    return drawn.select("id", "category", "weight")
+
+
 # Profiles
 
 
@@ -373,6 +435,29 @@ def training_blocks(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+def encoded_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chat lines of both splits read back, encoded, ordered, and packed into blocks of ids."""
+    root = written_chat(spark, sf_dir)
+    chat_lines = read_chat(spark, f"{root}/attached/train.jsonl", f"{root}/attached/val.jsonl")
+    parts = [
+        make_blocks(training_text(chat_lines, split, seed=SEED, encoder=piece_encoder()), BLOCK).withColumn("split", F.lit(split))
+        for split in ("train", "validation")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def training_block_ids(spark, sf_dir):
+    blocks = encoded_blocks(spark, sf_dir)
+    places = F.md5(F.array_join("position_ids", " ")).alias("places_md5")
+    return blocks.select("split", "block_id", "n_segments", joined_ids("tokens"), places)
+
+
+def block_segments(spark, sf_dir):
+    """Every example put together again from the blocks and their segments."""
+    whole = chat.segment_examples(stage(encoded_blocks(spark, sf_dir), "blocks"), by=("split",))
+    return whole.select("split", "pos", F.size("tokens").cast("bigint").alias("n_tokens"), joined_ids("tokens"))
+
+
 # Evaluation
 
 
@@ -463,12 +548,17 @@ QUERIES: dict[str, Query] = {
     "truncate_tokens": truncate_tokens,
     "estimate_tokens": estimate_tokens_query,
     "token_counter_hook": token_counter_hook,
+    "truncate_ids": truncate_ids,
+    "render_templates": render_templates,
     "seeded_order": seeded_order,
     "seeded_order_no_id": seeded_order_no_id,
     "seeded_order_hot": seeded_order_hot,
     "cap_examples": cap_examples,
     "split_train_val": split_train_val,
     "assign_shards": assign_shards,
+    "epoch_shards": epoch_shards,
+    "epoch_shards_dropped": epoch_shards_dropped,
+    "weighted_subset": weighted_subset,
     "category_distribution": category_distribution,
     "top_categories": top_categories,
     "run_counters": run_counters,
@@ -485,6 +575,8 @@ QUERIES: dict[str, Query] = {
     "packing_report": packing_report,
     "training_shards": training_shards,
     "training_blocks": training_blocks,
+    "training_block_ids": training_block_ids,
+    "block_segments": block_segments,
     "eval_results": eval_results,
     "eval_report": eval_report,
     "compare_runs": compare_runs,

@@ -3,54 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from promptmill.functions.encoding import Encoder
 from promptmill.functions.text import estimate_tokens, strip, tokens
 from promptmill.operators.running import CHUNK, chunk_of, running_totals
+from promptmill.operators.templates import CHATML, Template
 from promptmill.staging import stage
 
 TokenCounter = Callable[[Column], Column]
 
 
-@dataclass(frozen=True)
-class ChatTemplate:
-    """Markers around each message. The default is the public ChatML form."""
-
-    before_role: str = "<|im_start|>"
-    after_role: str = "\n"
-    after_content: str = "<|im_end|>\n"
-    generation: str = "<|im_start|>assistant\n"
-
-
-CHATML = ChatTemplate()
-
-
-def chat_text(
-    messages: Column, template: ChatTemplate = CHATML, add_generation_prompt: bool = False
-) -> Column:
-    """Messages as one string, as an expression. A missing role or content is empty text."""
-    turns = F.transform(
-        messages,
-        lambda m: F.concat(
-            F.lit(template.before_role),
-            F.coalesce(m["role"], F.lit("")),
-            F.lit(template.after_role),
-            F.coalesce(m["content"], F.lit("")),
-            F.lit(template.after_content),
-        ),
-    )
-    text = F.array_join(turns, "")
-    return F.concat(text, F.lit(template.generation)) if add_generation_prompt else text
-
-
 def render_chat(
-    df: DataFrame, template: ChatTemplate = CHATML, add_generation_prompt: bool = False
+    df: DataFrame, template: Template = CHATML, add_generation_prompt: bool = False
 ) -> DataFrame:
     """Add ``text``: without the generation prompt for training, with it for answering."""
-    return df.withColumn("text", chat_text(F.col("messages"), template, add_generation_prompt))
+    return df.withColumn("text", template.text(F.col("messages"), add_generation_prompt))
 
 
 def select_text(df: DataFrame, keep: tuple[str, ...] = ("split", "pos")) -> DataFrame:
@@ -83,6 +53,29 @@ def truncate_tokens(df: DataFrame, max_seq_length: int = 2048, text: str = "text
     )
 
 
+def truncate_encoded(df: DataFrame, encoder: Encoder, max_seq_length: int = 2048, text: str = "text") -> DataFrame:
+    """Cap each example at ``max_seq_length`` ids: ``ids`` kept, ``text_end``, and the counts.
+
+    ``text_end`` is the number of code points that the kept ids cover, so that
+    ``substring(text, 1, text_end)`` is the text that is left. The text is encoded once.
+    """
+    n, limit = F.size("_spans").cast("bigint"), F.lit(max_seq_length)
+    kept = F.slice("_spans", 1, max_seq_length)
+    return (
+        df.withColumn("_spans", encoder(F.col(text)))
+        .withColumns(
+            {
+                "n": n,
+                "n_kept": F.least(n, limit).cast("bigint"),
+                "n_dropped": F.greatest(n - limit, F.lit(0)).cast("bigint"),
+                "ids": kept["id"],
+                "text_end": F.coalesce(F.array_max(kept["end"]), F.lit(0)).cast("bigint"),
+            }
+        )
+        .drop("_spans")
+    )
+
+
 def packed_size(n_tokens: str = "n_tokens", separator: int = 0) -> Column:
     """Tokens an example takes up in the blocks; none if it is empty."""
     n = F.col(n_tokens)
@@ -123,19 +116,47 @@ def pack_sequences(
     return placed.selectExpr(*kept, f"inline(transform({blocks}, b -> struct({fields})))")
 
 
-def packed_blocks(pieces: DataFrame, tokens_col: str = "tokens") -> DataFrame:
+def packed_blocks(pieces: DataFrame, tokens_col: str = "tokens", order: str | None = None) -> DataFrame:
     """Blocks with their tokens, from packed pieces that carry their part of the tokens.
 
     A block holds ``length`` tokens at most, so its group is bounded. Separator
-    positions beyond an example's tokens give no token here.
+    positions beyond an example's tokens give no token here. With ``order``, the column that numbers the examples,
+    a block also has its ``segments``, by which a trainer keeps attention inside an example:
+    the example, where in it the piece begins, its place and length in the block. ``position_ids``
+    count from 0 in every segment.
     """
-    piece = F.struct("place", F.col(tokens_col).alias("tokens"))
+    named = [F.col(order).alias("pos"), "start", F.size(tokens_col).cast("bigint").alias("length")] if order else []
+    piece = F.struct("place", F.col(tokens_col).alias("tokens"), *named)
     parts = F.array_sort(F.collect_list(piece))
-    return pieces.groupBy("block_id").agg(parts.alias("_parts")).select(
+    blocks = pieces.groupBy("block_id").agg(parts.alias("_parts")).select(
         "block_id",
         F.size("_parts").cast("bigint").alias("n_segments"),
         F.flatten(F.transform("_parts", lambda p: p["tokens"])).alias("tokens"),
+        "_parts",
     )
+    return with_segments(blocks, "_parts").drop("_parts") if order else blocks.drop("_parts")
+
+
+def with_segments(blocks: DataFrame, parts: str) -> DataFrame:
+    """Add ``segments`` and ``position_ids`` from the parts of each block, in the order of their places."""
+
+    def counted(part: Column) -> Column:
+        return F.when(part["length"] > 0, F.sequence(F.lit(0).cast("bigint"), part["length"] - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    return blocks.withColumns(
+        {
+            "segments": F.transform(parts, lambda p: F.struct(p["pos"].alias("pos"), p["start"].alias("start"), p["place"].alias("place"), p["length"].alias("length"))),
+            "position_ids": F.flatten(F.transform(parts, counted)),
+        }
+    )
+
+
+def segment_examples(blocks: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """``pos, tokens`` of every example, put together again from the blocks that hold its segments."""
+    part = F.struct("s.start", F.slice("tokens", (F.col("s.place") + 1).cast("int"), F.col("s.length").cast("int")).alias("tokens"))
+    cut = blocks.select(*by, "tokens", F.explode("segments").alias("s")).select(*by, F.col("s.pos").alias("pos"), part.alias("part"))
+    joined = cut.groupBy(*by, "pos").agg(F.array_sort(F.collect_list("part")).alias("_parts"))
+    return joined.select(*by, "pos", F.flatten(F.transform("_parts", lambda p: p["tokens"])).alias("tokens"))
 
 
 def packing_report(df: DataFrame, length: int, n_tokens: str = "n_tokens") -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.functions.text import estimate_tokens
-from promptmill.operators.chat import CHATML, ChatTemplate, TokenCounter, chat_text
+from promptmill.operators.chat import TokenCounter
+from promptmill.operators.templates import CHATML, Template
 from promptmill.operators.records import SYSTEM_PROMPT, prompt_messages
 
 
@@ -29,7 +30,7 @@ def eval_results(
     responses: DataFrame,
     system_prompt: str = SYSTEM_PROMPT,
     counter: TokenCounter = estimate_tokens,
-    template: ChatTemplate = CHATML,
+    template: Template = CHATML,
 ) -> DataFrame:
     """Attach each prompt to its responses, with prompt and completion token counts.
 
@@ -40,7 +41,7 @@ def eval_results(
     join with the responses an inner one: either side of that can be broadcast,
     or split where one prompt has very many responses.
     """
-    rendered = chat_text(F.col("messages"), template, add_generation_prompt=True)
+    rendered = template.text(F.col("messages"), add_generation_prompt=True)
     asked = unique_by(prompts.select("ord", "id", "category", "prompt"), "id", "prompt id")
     counted = (
         prompt_messages(asked, system_prompt)

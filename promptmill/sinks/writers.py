@@ -42,8 +42,8 @@ def write_sidecar(df: DataFrame, path: str, ordered: bool = False, with_pos: boo
     lines.write.mode("overwrite").text(path)
 
 
-def write_shards(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Text of each worker below ``rank=<r>``, in ``pos`` order within a file.
+def write_shards(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, columns: tuple[str, ...] = ("pos", "text")) -> None:
+    """The columns of each worker's rows as JSON lines below ``rank=<r>``, in ``pos`` order within a file.
 
     Examples are dealt to workers in turn, so a worker's share is cut after every
     ``rows_per_file`` of them by position; each cut is one task and one file.
@@ -55,7 +55,7 @@ def write_shards(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -
     (
         df.repartitionById(world * cuts, place)
         .sortWithinPartitions("rank", "pos")
-        .select("rank", F.to_json(F.struct("pos", "text")).alias("value"))
+        .select("rank", F.to_json(F.struct(*columns)).alias("value"))
         .write.mode("overwrite")
         .partitionBy("rank")
         .text(path)
