@@ -35,17 +35,33 @@ def _mixed_column(x: Column, key: Column) -> Column:
     return (x % WORD + F.shiftright(x, 31)).bitwiseXOR(key) % WORD * FIRST % WORD * SECOND % PRIME
 
 
+def _sent(place: int, small: int, large: int, keys: list[int]) -> int:
+    """Where the rounds send a place of the grid."""
+    left, right = place % small, place // small
+    for a, b in zip(keys[::2], keys[1::2], strict=True):
+        left = (left + _mixed(right, a)) % small
+        right = (right + _mixed(left, b)) % large
+    return right * small + left
+
+
 def permuted(place: int, n: int, keys: list[int]) -> int:
-    """Feistel rounds on the two halves of one number; places outside ``[0, n)`` are walked on from."""
+    """Feistel rounds on the two halves of a number of ``[0, n)``; from places outside it is walked on."""
+    grid = halves(n)
+    while (place := _sent(place, *grid, keys)) >= n:
+        pass
+    return place
+
+
+def _ways_back(n: int, keys: list[int]) -> list[int | None]:
+    """For each place outside ``[0, n)`` where the walk from it comes inside; None if it goes round outside, where nothing leads."""
     small, large = halves(n)
-    while True:
-        left, right = place % small, place // small
-        for a, b in zip(keys[::2], keys[1::2], strict=True):
-            left = (left + _mixed(right, a)) % small
-            right = (right + _mixed(left, b)) % large
-        place = right * small + left
-        if place < n:
-            return place
+    back = []
+    for start in range(n, small * large):
+        place = _sent(start, small, large, keys)
+        while place >= n and place != start:
+            place = _sent(place, small, large, keys)
+        back.append(place if place < n else None)
+    return back
 
 
 def epoch_place(pos: Column, n: int, seed: int, epoch: int, rounds: int = ROUNDS) -> Column:
@@ -58,7 +74,7 @@ def epoch_place(pos: Column, n: int, seed: int, epoch: int, rounds: int = ROUNDS
     """
     keys = round_keys(seed, epoch, rounds)
     small, large = halves(n)
-    outside = [permuted(place, n, keys) for place in range(n, small * large)]
+    outside = _ways_back(n, keys)
     place = pos.cast("bigint")
 
     def state(left: Column, right: Column) -> Column:
