@@ -6,6 +6,9 @@ but the last return the columns of ``docs``, extra ones included. Empty tables s
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,9 +22,23 @@ from promptmill.llm.tokenizing import token_pieces
 from promptmill.staging import stage
 
 LEAST_SCORE = 0.5
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def plain_names(apply: Callable) -> Callable:
+    """Columns that the stages don't know go under names of no meaning meanwhile, so that no operator takes one for its own."""
+
+    @wraps(apply)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        hidden = {c: f"extra{i}" for i, c in enumerate(docs.columns) if c not in COLUMNS}
+        out = apply(spark, docs.withColumnsRenamed(hidden), sf_dir)
+        return out.withColumnsRenamed({plain: c for c, plain in hidden.items()})
+
+    return run
 
 
 @shipped
+@plain_names
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter go, NULL texts among them, and those of which no language has half.
 
@@ -39,6 +56,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 @shipped
+@plain_names
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id stays.
 
@@ -54,6 +72,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 @shipped
+@plain_names
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 200 bytes that occur again are cut out, in whole characters; ``n_chars`` follows.
 
@@ -69,6 +88,7 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 @shipped
+@plain_names
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources, languages and topics are drawn towards even shares; three quarters of the tokens stay."""
     by = {"source": F.col("source"), "language": F.col("lang"), "topic": topic_of(F.col("text"))}
@@ -90,7 +110,7 @@ STAGES = [
     ("mixing to target weights", mixing),
     ("best-fit packing", packing),
 ]
-ORACLE_SQL = None  # tokenizers, Viterbi and suffix matches are beyond SQL; tests compare with brute force
+ORACLE_SQL = None  # tokenizers, Viterbi and suffix matches are beyond SQL; tests/llm compares the operators with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
