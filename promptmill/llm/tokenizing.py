@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
 from array import array
 from collections.abc import Iterator
@@ -18,18 +19,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+DEFINITION = public_tokenizers.path("byte_bpe_50k.json")
 LONG = 1 << 20  # characters encoded at a time
 
 
 class TextEncoder:
     """Texts to ids, as little-endian unsigned 32-bit bytes.
 
-    The ranks are the vocabulary of ``byte_bpe_50k.json``; the ids are the same.
+    The ranks are the vocabulary of ``byte_bpe_50k.json``; the ids are the same. A special token
+    of the definition that stands in a text gets its own id, and what is around it is encoded apart.
     """
 
-    def __init__(self, ranks_path: str = RANKS):
+    def __init__(self, ranks_path: str = RANKS, definition_path: str = DEFINITION):
         with open(ranks_path, "rb") as file:
             ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, file)}
+        with open(definition_path, encoding="utf-8") as file:
+            self.special = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.split = re.compile("|".join(map(re.escape, longest_first))) if longest_first else None
         self.encoder = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
@@ -37,6 +44,13 @@ class TextEncoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        out, begin = [], 0
+        for found in self.split.finditer(text) if self.split else ():
+            out += [self._plain(text[begin : found.start()]), array("I", [self.special[found[0]]]).tobytes()]
+            begin = found.end()
+        return b"".join([*out, self._plain(text[begin:] if begin else text)])
+
+    def _plain(self, text: str) -> bytes:
         return b"".join(array("I", self.encoder.encode_ordinary(part)).tobytes() for part in _cuts(text))
 
 

@@ -288,3 +288,29 @@ def test_pipeline_run(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and corpus_pipeline.ORACLE_SQL is None
     check_sequences(rows, 1024)
+
+
+def test_pipeline_stages_keep_columns_named_like_their_own(spark, tricky):
+    names = ["_text", "_id", "_mix", "_rate", "_cell", "_language", "_repeats", "_cut", "_row", "_rows", "cell", "component_id", "bits"]
+    docs = tricky.select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(f"own{c}").alias(c) for c in names])
+    for name, apply in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.stage(apply(spark, docs, SF), "test")
+        assert docs.columns[5:] == names, name
+        assert [tuple(r) for r in docs.select(*names).distinct().collect()] == [tuple(f"own{c}" for c in names)], name
+
+
+def test_embedding_dedup_query(spark):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, units = [], []
+    for vec_id, vector in rows:
+        if vector is not None and None not in vector and np.isfinite(vector).all() and any(vector):
+            ids.append(vec_id)
+            units.append(np.array(vector, dtype=float) / np.linalg.norm(np.array(vector, dtype=float)))
+    near = np.array(units) @ np.array(units).T >= 0.9
+    place = {x: i for i, x in enumerate(ids)}
+    counts = dict(zip(ids, (near.sum(axis=1) - 1).tolist(), strict=True))
+    root = slow_components(ids, lambda a, b: near[place[a], place[b]])
+    found = QUERIES["op2_embedding_near_dedup"](spark, SF).collect()
+    want = {r["vec_id"]: (counts.get(r["vec_id"], 0), root.get(r["vec_id"], r["vec_id"])) for r in rows}
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == want and len(found) == len(rows)
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found)

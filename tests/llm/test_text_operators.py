@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -26,21 +27,27 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def reference():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
 def test_ids_equal_those_of_tokenizers(reference):
     draw, encoder = random.Random(1), TextEncoder()
-    parts = ["a", "the", " ", "  ", "\n", "\t", "é", "don't", "'s", "12", "日本", "😀", "...", "\r\n", "b"]
+    parts = ["a", "the", " ", "  ", "\n", "\t", "é", "don't", "'s", "12", "日本", "😀", "...", "\r\n", "b", "<|endoftext|>", "<|endof"]
     for _ in range(500):
         text = "".join(draw.choice(parts) for _ in range(draw.randint(0, 25)))
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == reference(text)
 
 
-def test_long_texts_are_cut_without_effect(monkeypatch, reference):
-    monkeypatch.setattr("promptmill.llm.tokenizing.LONG", 50)
-    text = "some words  and\n more of them, " * 20
+def test_special_tokens_have_their_own_ids(reference):
+    end = "<|endoftext|>"
+    for text in (end, f"{end} a", f"a {end}", f"hello {end} world", f"a{end}{end}\n{end}b", f"<{end}>"):
+        assert np.frombuffer(TextEncoder().encode(text), "<u4").tolist() == reference(text)
+    assert np.frombuffer(TextEncoder().encode(f"hello {end} world"), "<u4").tolist() == [31373, 220, 50256, 995]
+
+
+@pytest.mark.parametrize("text", ["some words  and\n more of them, " * 20, "one <|endoftext|> two three, " * 20])
+def test_long_texts_are_cut_without_effect(monkeypatch, reference, text):
+    monkeypatch.setattr("promptmill.llm.tokenizing.LONG", 20)
     assert len(list(_cuts(text))) > 5 and "".join(_cuts(text)) == text
     assert np.frombuffer(TextEncoder().encode(text), "<u4").tolist() == reference(text)
 
@@ -76,9 +83,17 @@ def check_sequences(rows, tokens):
         assert end <= tokens
 
 
-def test_packing_query(spark):
+def test_packing_query(spark, reference):
     rows = QUERIES["op3_best_fit_packing"](spark, SF).collect()
     check_sequences(rows, 1024)
+    want = []
+    for doc_id, text in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect():
+        ids = [*reference(text), 2]
+        first = (len(ids) - 1) % 1024 + 1
+        bounds = [0, *range(first, len(ids) + 1, 1024)]
+        for piece, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+            want.append((doc_id, piece, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())))
+    assert sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == sorted(want)
     assert len({r["sequence_id"] for r in rows}) <= sum(r["length"] for r in rows) / 1024 + 2
 
 
@@ -306,3 +321,20 @@ def test_spans_keep_characters_whole():
     assert repeats.whole_characters(data, [(2, 4)]) == [(3, 4)]
     assert repeats.whole_characters(data, [(0, 2)]) == [(0, 1)]
     assert repeats.whole_characters(data, [(2, 3)]) == []
+
+
+def test_simhash_query(spark):
+    docs = {r["doc_id"]: fingerprint(r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    root = slow_components(sorted(docs), lambda a, b: (docs[a] ^ docs[b]).bit_count() <= 4)
+    rows = QUERIES["op9_simhash_near_dedup"](spark, SF).collect()
+    assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in rows} == {i: (f"{x:016x}", root[i]) for i, x in docs.items()}
+    assert len(rows) == len(docs)
+
+
+def test_token_count_query(spark, reference):
+    lengths = [len(reference(r["text"])) for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    rows = {r["context_limit"]: r for r in QUERIES["op10_token_counts"](spark, SF).collect()}
+    assert sorted(rows) == sorted(set(lengths))
+    for limit, row in rows.items():
+        assert row["tokens_truncated"] == sum(min(n, limit) for n in lengths)
+        assert row["docs_within"] == sum(n <= limit for n in lengths)
