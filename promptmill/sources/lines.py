@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptmill.functions.fields import configure, field, once, text_value
@@ -79,12 +79,24 @@ def is_single_value(line: str, wrapped: str) -> str:
         AND CASE WHEN contains({line}, ']') THEN {in_object} IS NOT NULL ELSE true END"""
 
 
+def nesting(line: Column) -> Column:
+    """How deep the brackets of a JSON text lie in each other, those inside strings left out."""
+    bare = F.regexp_replace(F.regexp_replace(line, r"(?s)\\.", ""), '"[^"]*"', "")
+    brackets = F.split(F.regexp_replace(bare, r"[^\[\]{}]+", ""), "")
+
+    def step(at: Column, bracket: Column) -> Column:
+        now = at["now"] + F.when(bracket.isin("[", "{"), 1).when(bracket.isin("]", "}"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(at["most"], now).alias("most"))
+
+    return F.aggregate(brackets, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step, lambda at: at["most"])
+
+
 def tag_lines(lines: DataFrame, value: str = "value", keep_blank: bool = False) -> DataFrame:
     """Parse every non-blank line once and say why it was rejected, if it was.
 
     Adds ``id, id_value, instruction, input, output, metadata, digest, n_bytes``
     and ``reason``: NULL for a good record, else ``bad_encoding``, ``malformed``,
-    ``too_deep`` (over 1,000 brackets and not parsed), ``not_object`` or ``bad_type``. With ``keep_blank`` blank lines stay, as
+    ``too_deep`` (brackets nested 1,000 deep and not parsed), ``not_object`` or ``bad_type``. With ``keep_blank`` blank lines stay, as
     ``blank``, so that lines can be numbered.
     """
     configure(lines.sparkSession)
@@ -107,15 +119,18 @@ def tag_lines(lines: DataFrame, value: str = "value", keep_blank: bool = False)
         **{name: text_value(f"_{name}") for name in texts},
         _usable="coalesce(schema_of_variant(metadata) RLIKE '^(OBJECT<|VOID$)', true)",
     )
-    reason = F.expr(f"""CASE
+    # Few lines have so many brackets; only theirs are followed one by one.
+    many = F.expr(f"NOT _single AND length(_line) - length(translate(_line, '[{{', '')) >= {DEEPEST - 1}")
+    deep = F.when(many, nesting(F.col("_line")) >= DEEPEST - 1).otherwise(False)
+    reason = F.expr("""CASE
         WHEN _line = '' THEN 'blank'
         WHEN NOT is_valid_utf8(_line) THEN 'bad_encoding'
-        WHEN NOT _single AND length(_line) - length(translate(_line, '[{{', '')) >= {DEEPEST - 1} THEN 'too_deep'
+        WHEN _deep THEN 'too_deep'
         WHEN NOT _single THEN 'malformed'
         WHEN _record IS NULL THEN 'not_object'
         WHEN instruction IS NULL OR input IS NULL OR output IS NULL OR NOT _usable THEN 'bad_type'
         END""")
-    return typed.withColumn("reason", reason).select(*lines.columns, *RECORD_COLUMNS, "reason")
+    return typed.withColumn("_deep", deep).withColumn("reason", reason).select(*lines.columns, *RECORD_COLUMNS, "reason")
 
 
 def accepted(tagged: DataFrame) -> DataFrame:

@@ -127,3 +127,11 @@ def test_lines_of_any_length_and_deep_ones(spark):
     deep = '{"instruction":"a","output":"b","metadata":{"m":' + "[" * 1200 + "]" * 1200 + "}}"
     rows = tag_lines(spark.createDataFrame([(long,), (deep,)], "value string")).select("reason", F.length("instruction").alias("n")).collect()
     assert {r.n for r in rows if r.reason is None} == {21_000_000} and {r.reason for r in rows} == {None, "too_deep"}
+
+
+def test_many_brackets_side_by_side_are_not_deep(spark):
+    flat = '{"instruction":"a","m":[' + ",".join(["[]"] * 1200) + "], x}"
+    quoted = '{"instruction":"' + "[" * 1500 + '\\"' + '", x}'
+    deep = "[" * 1200 + "x" + "]" * 1200
+    rows = tag_lines(spark.createDataFrame([(flat, 1), (quoted, 2), (deep, 3)], "value string, i int")).select("i", "reason").collect()
+    assert {r.i: r.reason for r in rows} == {1: "malformed", 2: "malformed", 3: "too_deep"}
