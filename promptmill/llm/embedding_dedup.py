@@ -8,18 +8,21 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from promptmill.llm.ann_tree import usable
 from promptmill.llm.components import connected_components
 from promptmill.staging import stage
 
-WINDOW = 32
+WINDOW = 1_024  # rows of a block of the order; a row meets its own block, the one before and the one after
+SPAN = 8  # blocks that a task compares at a time, with the one before them
 BITS = 64
-PASS_PAIRS = 1_000  # compared pairs that cost as much as a row in a pass, about
+PASS_PAIRS = 2_500  # compared pairs that cost as much as a row in a pass, about
 LEAST_BLOCK, MOST_BLOCK, BLOCKS = 256, 8_192, 16
+WHOLE = 4_096  # a component up to this size is counted in one piece
+MOST_BROADCAST = 100_000
+ROUNDING = 1e-9  # products of matrices may be off by less; nearer to the threshold one sum decides
 
 
 def passes_needed(rows: int, threshold: float, window: int = WINDOW, miss: float = 1e-3) -> int:
@@ -44,177 +47,139 @@ def _units(vectors: pd.Series) -> np.ndarray:
     return matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
 
 
-class _Union:
-    """Joins what is found to be near; remembers one link for each joined pair of sets."""
+def _near(mine: np.ndarray, theirs: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs have the cosine. A pair gets the same answer wherever it is compared, and in either order."""
+    cosines = mine @ theirs.T
+    near, maybe = cosines >= threshold + ROUNDING, cosines >= threshold - ROUNDING
+    if np.count_nonzero(near) != np.count_nonzero(maybe):
+        rows, columns = np.nonzero(near != maybe)
+        for at in range(0, len(rows), 1 << 14):
+            i, j = rows[at : at + (1 << 14)], columns[at : at + (1 << 14)]
+            near[i, j] = (mine[i] * theirs[j]).sum(axis=1) >= threshold
+    return near
 
-    def __init__(self):
-        self.root: dict[int, int] = {}
 
-    def find(self, x: int) -> int:
-        root = self.root
-        while (up := root.get(x, x)) != x:
-            root[x] = root.get(up, up)
-            x = up
-        return x
+class _Sets:
+    """Joins the rows that are found to be near; one link for each row that is not the first of its set."""
 
-    def join(self, a: int, b: int) -> None:
-        a, b = self.find(a), self.find(b)
-        if a != b:
-            self.root[max(a, b)] = min(a, b)
+    def __init__(self, size: int):
+        self.root = np.arange(size)
 
+    def find(self, x: int) -> int:
+        root = self.root
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return int(x)
 
-def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def compare(self, units: np.ndarray, mine: np.ndarray, theirs: np.ndarray, threshold: float) -> None:
+        """Join the rows ``mine`` with those of ``theirs`` that have the cosine; a row is not compared with itself."""
+        root = self.root
+        for at in range(0, len(mine), 512):
+            part = mine[at : at + 512]
+            near = _near(units[part], units[theirs], threshold)
+            near &= part[:, None] != theirs[None, :]
+            for row in np.flatnonzero(near.any(axis=1)).tolist():
+                members, head = theirs[near[row]], self.find(part[row])
+                if (root[members] != head).any():
+                    heads = [head, *map(self.find, np.unique(root[members]).tolist())]
+                    root[heads] = min(heads)
+                    root[members] = min(heads)
+
+    def links(self, nodes: np.ndarray) -> pd.DataFrame:
+        member = np.flatnonzero(self.root != np.arange(len(self.root)))
+        return pd.DataFrame({"a": nodes[member], "b": nodes[[self.find(x) for x in member.tolist()]]}, dtype="int64")
+
+
+def _shared(a: Column, b: Column) -> Column:
     """How many leading bits two keys have in common."""
-    apart = a.view(np.uint64) ^ b.view(np.uint64)
-    high, low = (np.frexp(half.astype(np.float64))[1] for half in (apart >> np.uint64(32), apart & np.uint64(0xFFFFFFFF)))
-    return 64 - np.where(high > 0, high + 32, low)
-
+    apart = a.bitwiseXOR(b)
+    return F.when(apart == 0, F.lit(BITS)).otherwise(BITS - F.length(F.bin(apart)))
 
-def _crowding(keys: np.ndarray, window: int, cut_before: bool, cut_after: bool) -> tuple[np.ndarray, np.ndarray]:
-    """For each of the sorted keys the fewest leading bits that no more than ``window`` others share, and if that is sure.
 
-    It is not where a task's edge may hide others that share them.
-    """
-    spread = window + 1
-    longest = np.full(len(keys) + spread, -1)
-    if len(keys) > spread:
-        longest[spread : len(keys)] = _shared(keys[:-spread], keys[spread:])
-    bits = np.lib.stride_tricks.sliding_window_view(longest, spread + 1).max(axis=1) + 1
-    sure = np.ones(len(keys), dtype=bool)
-    for cut, edge in ((cut_before, keys[:1]), (cut_after, keys[-1:])):
-        if cut:
-            sure &= bits > _shared(keys, np.repeat(edge, len(keys)))
-    return bits, sure
-
-
-def _window_links(batches: Iterator[pd.DataFrame], threshold: float, window: int) -> Iterator[pd.DataFrame]:
-    """Compare each row with the ``window`` rows before it; the rows of a pass follow each other in order.
-
-    Besides the links ``a, b`` each row ``a`` comes out with the ``bits`` of its crowding
-    in the pass, for which a task keeps 16 bytes a row of a pass.
-    """
-    union, tail, current, cut_before, held = _Union(), None, None, True, []
-
-    def crowded(cut_after: bool) -> pd.DataFrame:
-        keys, nodes = (np.concatenate(parts) for parts in zip(*held, strict=True))
-        bits, sure = _crowding(keys, window, cut_before, cut_after)
-        none = pd.array([None] * int(sure.sum()), dtype="Int64")
-        return pd.DataFrame({"a": nodes[sure], "b": none, "bits": pd.array(bits[sure], dtype="Int64")})
-
-    for batch in batches:
-        if not len(batch):
-            continue
-        old = 0 if tail is None else len(tail)
-        rows = batch if tail is None else pd.concat([tail, batch], ignore_index=True)
-        node, run = rows["node"].to_numpy(np.int64), (rows["number"] * 100_003 + rows["width"]).to_numpy(np.int64)
-        for width in rows["width"].unique().tolist():
-            chosen = np.flatnonzero(rows["width"].to_numpy() == width)
-            units = _units(rows["vector"].iloc[chosen])
-            for step in range(1, min(window, len(chosen) - 1) + 1):
-                ahead, behind = chosen[step:], chosen[:-step]
-                near = np.einsum("ij,ij->i", units[step:], units[:-step]) >= threshold
-                near &= (run[ahead] == run[behind]) & (ahead >= old)
-                for a, b in zip(node[behind[near]].tolist(), node[ahead[near]].tolist(), strict=True):
-                    union.join(a, b)
-        key = rows["key"].to_numpy(np.int64)
-        bounds = [old, *(old + 1 + np.flatnonzero(np.diff(run[old:]))).tolist(), len(rows)]
-        for begin, end in zip(bounds, bounds[1:], strict=False):
-            if current is not None and run[begin] != current:
-                yield crowded(False)
-                cut_before, held = False, []
-            current = run[begin]
-            held.append((key[begin:end].copy(), node[begin:end].copy()))
-        tail = rows.iloc[-window:]
-    if held:
-        yield crowded(True)
-    linked = list(union.root)
-    none = pd.array([None] * len(linked), dtype="Int64")
-    yield pd.DataFrame({"a": linked, "b": pd.array([union.find(x) for x in linked], dtype="Int64"), "bits": none})
-
-
-def sorted_passes(classes: DataFrame, threshold: float, passes: int, first: int = 0, window: int = WINDOW, seed: int = 7) -> DataFrame:
-    """Links ``a, b`` between nodes whose vectors were neighbours in some pass and have the cosine, and crowding.
+def sorted_passes(classes: DataFrame, passes: int, first: int = 0, window: int = WINDOW, seed: int = 7) -> DataFrame:
+    """``number, width, node, block, bits``: where each node stands in each pass; only keys are sorted, not vectors.
 
     ``classes`` has ``node`` and ``vector``, all vectors different. Passes ``first`` and
-    following order them by the concatenated bits of their own random hashes. A task has a
-    run of the order; of the pairs found in a run as many come out as connect them. Rows
-    ``a, bits`` without ``b`` say for each pass that all nodes that share so many
-    bits with ``a`` were compared with it; near the edge of a task that may not be, and
-    then there is no such row.
+    following order the vectors of one length by the concatenated bits of their own random
+    hashes, and cut the order into blocks of ``window`` rows. All nodes that
+    share so many leading ``bits`` with a node are in its block, the one before or the one after.
     """
-    vector = classes.schema["vector"]
-    longs = ("number", "width", "key", "node")
-    schema = T.StructType([*[T.StructField(c, T.LongType()) for c in longs], T.StructField("vector", vector.dataType)])
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             widths = batch["vector"].map(len)
             for width in widths.unique().tolist():
                 part = batch[widths == width]
-                matrix = np.stack(part["vector"].to_numpy()).astype(np.float64)
+                matrix, node = np.stack(part["vector"].to_numpy()).astype(np.float64), part["node"].to_numpy()
                 for number in range(first, first + passes):
-                    yield pd.DataFrame(
-                        {
-                            "number": number,
-                            "width": width,
-                            "key": _key(matrix, seed, number),
-                            "node": part["node"].to_numpy(),
-                            "vector": part["vector"].to_numpy(),
-                        }
-                    )
-
-    order = ["number", "width", "key", "node"]
+                    yield pd.DataFrame({"number": number, "width": width, "key": _key(matrix, seed, number), "node": node})
+
+    order, line = ["number", "width", "key", "node"], ["number", "width"]
     tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = classes.select("node", "vector").mapInPandas(hashed, schema)
+    keyed = classes.select("node", "vector").mapInPandas(hashed, "number bigint, width bigint, key bigint, node bigint")
     placed = keyed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
-    return placed.mapInPandas(lambda batches: _window_links(batches, threshold, window), "a bigint, b bigint, bits bigint")
+    placed = stage(placed.withColumn("at", F.monotonically_increasing_id()), "keys")
+    # The number of the task stands in the upper bits of ``at``, the place in it in the lower ones.
+    placed = placed.withColumn("task", F.shiftright("at", 33))
+    begins = placed.groupBy(*line, "task").agg(F.min("at").alias("begin"), F.count("*").alias("n"))
+    before = Window.partitionBy(*line).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    begins = begins.select(*line, "task", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("begin")).alias("shift"))
+    placed = placed.join(begins, [*line, "task"]).select(*order, F.floor((F.col("at") + F.col("shift")) / window).alias("block"))
+    edges = stage(placed.groupBy(*line, "block").agg(F.min("key").alias("low"), F.max("key").alias("high")), "edges")
+    known = (
+        edges.select(*line, "block")
+        .join(edges.select(*line, (F.col("block") + 2).alias("block"), "high"), [*line, "block"], "left")
+        .join(edges.select(*line, (F.col("block") - 2).alias("block"), "low"), [*line, "block"], "left")
+    )
+    bits = [F.coalesce(_shared(F.col("key"), F.col(c)) + 1, F.lit(0)) for c in ("high", "low")]
+    return stage(placed.join(known, [*line, "block"]).select(*line, "node", "block", F.greatest(*bits).alias("bits")), "places")
 
 
-def _tile_links(left: pd.DataFrame, right: pd.DataFrame | None, threshold: float) -> pd.DataFrame:
-    """Links that join all pairs of a tile, or of two, that have the cosine."""
-    nodes = (left if right is None else pd.concat([left, right]))["node"].to_numpy(np.int64)
-    mine = _units(left["vector"])
-    theirs, shift = (mine, 0) if right is None else (_units(right["vector"]), len(left))
-    root = np.arange(len(nodes))
+def window_links(places: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Links ``a, b`` that join the nodes of one block, or of two that follow each other, that have the cosine.
 
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return int(x)
+    A task has ``SPAN`` blocks and the one before, so a ninth more vectors than rows move;
+    of the pairs found in it as many come out as connect them.
+    """
+    span = F.floor(F.col("block") / SPAN)
+    spans = F.when((F.col("block") + 1) % SPAN == 0, F.array(span, span + 1)).otherwise(F.array(span))
+    met = places.join(classes.select("node", "vector"), "node")
+    met = met.select("number", "width", "node", "block", "vector", F.explode(spans).alias("span"))
 
-    for at in range(0, len(mine), 512):
-        near = mine[at : at + 512] @ theirs.T >= threshold
-        if right is None:
-            near[np.arange(len(near)), np.arange(at, at + len(near))] = False
-        for row in np.flatnonzero(near.any(axis=1)).tolist():
-            members, head = np.flatnonzero(near[row]) + shift, find(at + row)
-            if (root[members] != head).any():
-                heads = [head, *map(find, np.unique(root[members]).tolist())]
-                root[heads] = min(heads)
-                root[members] = min(heads)
-    member = np.flatnonzero(root != np.arange(len(root)))
-    return pd.DataFrame({"a": nodes[member], "b": nodes[[find(x) for x in member.tolist()]]}, dtype="int64")
-
-
-def all_pairs(classes: DataFrame, threshold: float) -> DataFrame:
-    """Links ``a, b`` that join all nodes whose vectors have the cosine: every pair is compared, tile by tile."""
-    sizes = classes.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("size"))
-    block = F.least(F.greatest(F.col("size") / BLOCKS, F.lit(LEAST_BLOCK)), F.lit(MOST_BLOCK))
-    cut = classes.select("node", "vector", F.size("vector").alias("width"))
-    cut = cut.join(sizes.select("width", F.ceil(F.col("size") / block).alias("blocks")), "width")
-    cut = cut.withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
-    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        units, block = _units(group["vector"]), group["block"].to_numpy(np.int64)
+        lead = int(group["span"].iloc[0]) * SPAN - 1
+        sets, rows = _Sets(len(group)), {b: np.flatnonzero(block == b) for b in np.unique(block).tolist()}
+        for b, mine in rows.items():
+            if b != lead:
+                sets.compare(units, mine, mine, threshold)
+                if b - 1 in rows:
+                    sets.compare(units, mine, rows[b - 1], threshold)
+        return sets.links(group["node"].to_numpy(np.int64))
+
+    return met.groupBy("number", "width", "span").applyInPandas(compare, "a bigint, b bigint")
+
+
+def all_pairs(classes: DataFrame, threshold: float, size: int) -> DataFrame:
+    """Links ``a, b`` that join all nodes whose vectors have the cosine: every pair is compared, tile by tile.
+
+    ``size`` is the number of rows; it alone sets the number of tiles, which are spread over tasks.
+    """
+    blocks = math.ceil(max(size, 1) / min(max(size / BLOCKS, LEAST_BLOCK), MOST_BLOCK))
+    cut = classes.select("node", "vector", F.size("vector").alias("width"), F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("own"))
+    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))).select(
         "width", "node", "vector", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first")
     )
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        first = group["first"].to_numpy(bool)
+        first, sets = group["first"].to_numpy(bool), _Sets(len(group))
+        mine, theirs = np.flatnonzero(first), np.flatnonzero(~first)
         if group["i"].iloc[0] == group["j"].iloc[0]:
-            return _tile_links(group, None, threshold)
-        if first.all() or not first.any():
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        return _tile_links(group[first], group[~first], threshold)
+            theirs = mine
+        if len(mine) and len(theirs):
+            sets.compare(_units(group["vector"]), mine, theirs, threshold)
+        return sets.links(group["node"].to_numpy(np.int64))
 
     return met.groupBy("width", "i", "j").applyInPandas(compare, "a bigint, b bigint")
 
@@ -222,67 +187,69 @@ def all_pairs(classes: DataFrame, threshold: float) -> DataFrame:
 def near_links(classes: DataFrame, threshold: float, window: int = WINDOW, miss: float = 1e-3) -> DataFrame:
     """Links ``a, b`` that join the nodes whose vectors have the cosine.
 
-    Passes go on until they are known to do. After each round of passes the bits that a
-    node's neighbourhood took to fit into a window, at most, and the passes give the
-    probability that a vector just at the threshold was not compared with it. Nodes for
+    Tables of any size go through passes, until they are known to do. In a pass, the bits that
+    a node's neighbours share with it give the probability that a vector just at
+    the threshold was not compared with it; the product over the passes is its doubt. Nodes for
     which it is over ``miss`` go through more passes among themselves (a pair is settled
-    if one of its nodes is), or, where comparing all their pairs costs less, as
-    it does in dense regions and in small tables, are compared with each other exactly.
+    if one of its nodes is), or, where comparing all pairs of what is left costs less, as
+    it does for few nodes and in dense regions, are compared with each other exactly.
     """
     same, goal = 1 - math.acos(threshold) / math.pi, math.log(miss)
-
-    def doubt(bits: Column) -> Column:
-        """Logarithm of the probability that one pass misses a pair that needs so many equal bits."""
-        return F.log1p(-F.least(F.pow(F.lit(same), bits), F.lit(1 - 1e-9)))
-
+    missed = F.log1p(-F.least(F.pow(F.lit(same), F.col("bits")), F.lit(1 - 1e-9)))
     left = classes.select("node", "vector", F.lit(0.0).alias("doubt"))
-    found, first, size = [], 0, classes.count()
-    passes, before = passes_needed(size, threshold, window, miss), None
-    while passes * PASS_PAIRS < size / 2 and (before is None or not first or size <= 0.75 * before):
-        met = stage(sorted_passes(left, threshold, passes, first, window), "passes")
-        found.append(met.filter("b IS NOT NULL").select("a", "b"))
-        known = met.filter("b IS NULL").groupBy(F.col("a").alias("node"))
-        known = known.agg(F.max("bits").alias("bits"), F.count("*").alias("passes"))
-        summed = F.col("doubt") + F.coalesce(F.col("passes") * doubt(F.col("bits")), F.lit(0.0))
-        need = F.ceil((F.lit(goal) - F.col("doubt")) / doubt(F.coalesce("bits", F.lit(BITS)) + 1))
-        left = left.join(known, "node", "left").withColumn("doubt", summed).filter(F.col("doubt") > goal)
+    found, first = [], 0
+    passes = passes_needed(classes.count(), threshold, window, miss)
+    while True:
+        places = sorted_passes(left, passes, first, window)
+        found.append(stage(window_links(places, left, threshold), "passes"))
+        gained = places.groupBy("node").agg(F.sum(missed).alias("gain"))
+        need = F.ceil((F.lit(goal) - F.col("doubt")) / (F.col("gain") / passes))
+        left = left.join(gained, "node").withColumn("doubt", F.col("doubt") + F.col("gain")).filter(F.col("doubt") > goal)
         left = stage(left.select("node", "vector", "doubt", need.alias("need")), "unsettled")
-        before, first = size if first else None, first + passes
+        first += passes
         size, passes = left.agg(F.count("*"), F.percentile_approx("need", 0.75)).first()
         if not size:
             return reduce(DataFrame.union, found)
-    return reduce(DataFrame.union, [*found, all_pairs(left, threshold)])
+        if passes * PASS_PAIRS >= size / 2:
+            return reduce(DataFrame.union, [*found, all_pairs(left, threshold, size)])
 
 
 def _counted(members: DataFrame, threshold: float) -> DataFrame:
     """``node, links``: how many vectors, copies included, each class is linked with in its component.
 
-    Two linked vectors always lie in one component, so comparing a component with itself,
-    block by block, counts all links without writing a pair out.
+    Two linked vectors always lie in one component, so comparing a component with itself
+    counts all links without writing a pair out. Components over ``WHOLE`` classes go tile by tile;
+    there is one such for every ``WHOLE`` classes at most.
     """
-    size = members.groupBy("component").agg(F.count("*").alias("size"))
+    large = stage(members.groupBy("component").agg(F.count("*").alias("size")).filter(F.col("size") > WHOLE), "large-components")
     block = F.least(F.greatest(F.col("size") / BLOCKS, F.lit(LEAST_BLOCK)), F.lit(MOST_BLOCK))
-    cut = members.join(size.withColumn("blocks", F.ceil(F.col("size") / block)), "component")
+    large = large.select("component", F.ceil(F.col("size") / block).alias("blocks"))
+    if large.count() <= MOST_BROADCAST:
+        large = F.broadcast(large)
+    cut = members.join(large, "component", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("bigint")))
     cut = cut.withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
-    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    columns = ["component", "node", "vector", "copies"]
-    left = met.select(*columns, F.col("own").alias("i"), F.col("other").alias("j"), F.lit(True).alias("first"))
-    right = met.select(*columns, F.col("other").alias("i"), F.col("own").alias("j"), F.lit(False).alias("first"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    met = cut.select("component", "node", "vector", "copies", i, j, (F.col("own") <= F.col("other")).alias("first"))
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        first = group["first"].to_numpy(bool)
-        mine, others = group[first], group[~first]
-        out = np.zeros(len(mine), dtype=np.int64)
-        if len(mine) and len(others):
-            theirs, copies, node = _units(others["vector"]), others["copies"].to_numpy(np.int64), others["node"].to_numpy()
-            for at in range(0, len(mine), 512):
-                part = mine.iloc[at : at + 512]
-                near = _units(part["vector"]) @ theirs.T >= threshold
-                near &= part["node"].to_numpy()[:, None] != node[None, :]
-                out[at : at + 512] = near @ copies
-        return pd.DataFrame({"node": mine["node"].to_numpy(np.int64), "links": out})
-
-    met = left.union(right).groupBy("component", "i", "j").applyInPandas(compare, "node bigint, links bigint")
+        units, copies = _units(group["vector"]), group["copies"].to_numpy(np.int64)
+        first, links = group["first"].to_numpy(bool), np.zeros(len(group), dtype=np.int64)
+        mine, theirs = np.flatnonzero(first), np.flatnonzero(~first)
+        alone = group["i"].iloc[0] == group["j"].iloc[0]
+        theirs = mine if alone else theirs
+        for at in range(0, len(mine) if len(theirs) else 0, 512):
+            part = mine[at : at + 512]
+            near = _near(units[part], units[theirs], threshold)
+            near &= part[:, None] != theirs[None, :]
+            links[part] += near @ copies[theirs]
+            if not alone:
+                links[theirs] += copies[part] @ near
+        return pd.DataFrame({"node": group["node"].to_numpy(np.int64), "links": links})
+
+    spread = met.repartition(tasks, "component", "i", "j")
+    met = spread.groupBy("component", "i", "j").applyInPandas(compare, "node bigint, links bigint")
     return met.groupBy("node").agg(F.sum("links").alias("links"))
 
 

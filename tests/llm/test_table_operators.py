@@ -121,38 +121,56 @@ def dense_third(rows, seed=3, width=512):
     return np.concatenate([dense, draw.normal(size=(rows - 2 * count, width))]), [(i, i + count) for i in range(count)]
 
 
-@pytest.mark.parametrize("pass_pairs", [None, 4])
-def test_near_vectors_in_a_dense_third(spark, monkeypatch, pass_pairs):
-    """With ``pass_pairs`` 4 the rows go through passes first."""
-    if pass_pairs:
-        monkeypatch.setattr(embedding_dedup, "PASS_PAIRS", pass_pairs)
+@pytest.mark.parametrize(("window", "pass_pairs"), [(embedding_dedup.WINDOW, 2_500), (32, 2_500), (32, 4)])
+def test_near_vectors_in_a_dense_third(spark, monkeypatch, window, pass_pairs):
+    """Passes of 47 blocks; what they leave in doubt is compared at once, or, with ``pass_pairs`` 4, after more passes."""
+    monkeypatch.setattr(embedding_dedup, "PASS_PAIRS", pass_pairs)
     matrix, pairs = dense_third(1_500)
     table = spark.createDataFrame([(i, v) for i, v in enumerate(matrix.tolist())], "vec_id long, embedding array<double>")
-    got = {r["vec_id"]: r["component_id"] for r in near_vectors(table).collect()}
+    got = {r["vec_id"]: r["component_id"] for r in near_vectors(table, window=window).collect()}
     assert len(got) == 1_500 and sum(got[a] == got[b] for a, b in pairs) >= 0.99 * len(pairs)
 
 
-def test_crowding_is_that_of_prefixes():
-    draw = np.random.default_rng(8)
-    keys = np.sort(np.concatenate([draw.integers(-(1 << 63), 1 << 63, 60), draw.integers(0, 1 << 40, 60), [5] * 9]))
-    text = [f"{(int(k) + (1 << 63)):064b}" for k in keys]
-    bits, sure = embedding_dedup._crowding(keys, 6, False, True)
-    for i, k in enumerate(text):
-        few = [b for b in range(65) if sum(t[:b] == k[:b] for t in text) <= 7]
-        assert bits[i] == (few[0] if few else 65)
-        assert sure[i] == (text[-1][: bits[i]] != k[: bits[i]])
+@pytest.mark.parametrize("whole", [4, embedding_dedup.WHOLE])
+def test_links_of_large_components_are_counted_in_tiles(spark, monkeypatch, whole):
+    for name, value in (("WHOLE", whole), ("LEAST_BLOCK", 8)):
+        monkeypatch.setattr(embedding_dedup, name, value)
+    draw = np.random.default_rng(4)
+    matrix = np.concatenate([draw.normal(size=8) + 0.5 * draw.normal(size=(150, 8)) for _ in range(2)])
+    matrix = np.concatenate([matrix, matrix[:20]])
+    unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(matrix.tolist())], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors(table, window=16).collect()}
+    assert [got[i] for i in range(len(matrix))] == ((unit @ unit.T >= 0.9).sum(axis=1) - 1).tolist()
+
 
+def test_a_pair_at_the_threshold_gets_one_answer():
+    draw = np.random.default_rng(6)
+    units = draw.normal(size=(40, 64))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    for threshold in (units[:5] @ units[5:10].T).ravel().tolist():
+        near = embedding_dedup._near(units, units, threshold)
+        assert (near == near.T).all() and (embedding_dedup._near(units[:7], units[3:], threshold) == near[:7, 3:]).all()
 
-def best_capacity(sizes, shards):
-    """Minimax by plain dynamic programming."""
-    best = [0, *np.cumsum(sizes).tolist()]
-    sums = np.concatenate([[0], np.cumsum(sizes)])
-    for _ in range(shards - 1):
-        best = [min(max(best[j], int(sums[i] - sums[j])) for j in range(i + 1)) for i in range(len(sizes) + 1)]
-    return best[-1]
+
+def test_nodes_that_share_the_bits_of_a_pass_are_in_blocks_side_by_side(spark):
+    draw = np.random.default_rng(8)
+    matrix = np.concatenate([draw.normal(size=(150, 6)), draw.normal(size=6) + 0.2 * draw.normal(size=(150, 6))])
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(matrix.tolist())], "node long, vector array<double>")
+    found = embedding_dedup.sorted_passes(table, passes=2, first=3, window=16).collect()
+    assert len(found) == 600 and {r["number"] for r in found} == {3, 4}
+    for number in (3, 4):
+        keys = embedding_dedup._key(matrix, 7, number)
+        order = np.lexsort([np.arange(300), keys]).tolist()
+        text = [f"{int(k) + (1 << 63):064b}" for k in keys]
+        block = {node: place // 16 for place, node in enumerate(order)}
+        for r in (r for r in found if r["number"] == number):
+            node, bits = r["node"], r["bits"]
+            assert r["block"] == block[node] and r["width"] == 6
+            apart = lambda bits: [x for x in range(300) if text[x][:bits] == text[node][:bits] and abs(block[x] - block[node]) > 1]  # noqa: E731, B023
+            assert not apart(bits) and (bits == 0 or apart(bits - 1))
 
 
-@pytest.mark.parametrize("seed", range(4))
 def test_minimax_bounds(spark, seed, monkeypatch):
     monkeypatch.setattr(sharding, "FIRST", 4)  # coarse intervals that must be cut further
     draw = random.Random(seed)
