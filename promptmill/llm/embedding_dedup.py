@@ -20,7 +20,7 @@ SPAN = 8  # blocks that a task compares at a time, with the one before them
 BITS = 64
 PASS_PAIRS = 2_500  # compared pairs that cost as much as a row in a pass, about
 LEAST_BLOCK, MOST_BLOCK, BLOCKS = 256, 8_192, 16
-WHOLE = 4_096  # a component up to this size is counted in one piece
+WHOLE = 256  # a component up to this size is counted in one piece
 MOST_BROADCAST = 100_000
 ROUNDING = 1e-9  # products of matrices may be off by less; nearer to the threshold one sum decides
 
