@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,17 +44,21 @@ def fingerprint(text: str | None, words: int = 4) -> int:
     return int(np.packbits(2 * counts > len(last)).view(">u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id, bits``: the fingerprint as a signed long, for every row. NULL text counts as empty."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("bits", T.LongType())])
+def fingerprints(
+    docs: DataFrame, words: int = 4, text: str = "text", doc_id: str = "doc_id", carry: Sequence[str] = ()
+) -> DataFrame:
+    """``doc_id, bits``: the fingerprint as a signed long, for every row, and the columns ``carry``. NULL text counts as empty."""
+    kept = [T.StructField("doc_id", docs.schema[doc_id].dataType), *(docs.schema[c] for c in carry)]
+    schema = T.StructType([*kept, T.StructField("bits", T.LongType())])
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = [fingerprint(x.as_py(), words) for x in batch.column("_text")]
             longs = np.array(bits, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(longs)], ["doc_id", "bits"])
+            same = [batch.column("_id"), *map(batch.column, carry)]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(longs)], ["doc_id", *carry, "bits"])
 
-    return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).mapInArrow(compute, schema)
+    return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), *carry).mapInArrow(compute, schema)
 
 
 def linked_stars(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,22 +107,18 @@ def near_fingerprints(distinct: DataFrame, radius: int = 4) -> DataFrame:
     counts = {r["o"]: r["n"] for r in distinct.groupBy(ones.alias("o")).agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     size = min(max(-(-total // TILES), LEAST_TILE), MOST_TILE)
-    # For each bit count: how many tiles it has, and the pairs of tiles that each of them belongs to.
-    tiles = {o: [f"{o}:{i}" for i in range(-(-n // size))] for o, n in counts.items()}
-    every = [(o, name) for o, names in tiles.items() for name in names]
-    meets = [
-        (name, f"{min(name, other)}|{max(name, other)}", name <= other)
-        for o, name in every
-        for p, other in every
-        if abs(o - p) <= radius
-    ]
-    place = spark.createDataFrame([(o, len(names)) for o, names in tiles.items()], "o int, parts int")
-    pairs = spark.createDataFrame(meets, "tile string, pair string, first boolean")
-    named = (
-        distinct.withColumn("o", ones)
-        .join(F.broadcast(place), "o")
-        .select("node", "bits", F.concat_ws(":", "o", F.pmod(F.xxhash64("bits"), "parts")).alias("tile"))
-    )
+    # For each bit count: how many tiles it has, and with which other bit counts of how many tiles they meet.
+    tiles = {o: -(-n // size) for o, n in counts.items()}
+    near = [(o, p, tiles[o], tiles[p]) for o in tiles for p in tiles if abs(o - p) <= radius]
+    partners = spark.createDataFrame(near, "o int, p int, parts bigint, others bigint")
+
+    def tile(count: str, number: Column) -> Column:
+        return F.shiftleft(F.col(count).cast("bigint"), 32) + number
+
+    named = distinct.withColumn("o", ones).join(F.broadcast(partners), "o")
+    named = named.withColumn("number", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("others") - 1)))
+    own, other = tile("o", F.pmod(F.xxhash64("bits"), "parts")), tile("p", F.col("number"))
+    met = named.select("node", "bits", F.least(own, other).alias("i"), F.greatest(own, other).alias("j"), (own <= other).alias("first"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         first = group["first"].to_numpy(bool)
@@ -129,21 +129,20 @@ def near_fingerprints(distinct: DataFrame, radius: int = 4) -> DataFrame:
         node = np.concatenate([node[first], node[~first]])
         return pd.DataFrame({"a": node[member], "b": node[root]})
 
-    met = named.join(pairs, "tile").select("pair", "first", "node", "bits")
-    return met.groupBy("pair").applyInPandas(compare, "a bigint, b bigint")
+    return met.groupBy("i", "j").applyInPandas(compare, "a bigint, b bigint")
 
 
 def simhash_groups(
-    docs: DataFrame, words: int = 4, radius: int = 4, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame, words: int = 4, radius: int = 4, text: str = "text", doc_id: str = "doc_id", carry: Sequence[str] = ()
 ) -> DataFrame:
-    """``doc_id, bits, component_id`` for every row: the smallest doc_id within reach.
+    """``doc_id, bits, component_id`` for every row: the smallest doc_id within reach. Columns ``carry`` come along.
 
     Rows with equal fingerprints are one class; classes within ``radius`` bits are
     linked. NULL and empty texts have fingerprint 0 and link like others. Rows of
     one doc_id are one document; rows without one link with nothing and have no
     component. No rows: no rows.
     """
-    rows = stage(fingerprints(docs, words, text, doc_id), "fingerprints")
+    rows = stage(fingerprints(docs, words, text, doc_id, carry), "fingerprints")
     classes = stage(
         rows.filter("doc_id is not null").groupBy("bits").agg(F.min("doc_id").cast("bigint").alias("node")), "classes"
     )
@@ -151,4 +150,4 @@ def simhash_groups(
     reached = classes.join(parts, "node", "left").select("bits", F.coalesce("component", "node").alias("component_id"))
     joined = rows.join(reached, "bits", "left")
     known = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    return joined.select("doc_id", "bits", known.alias("component_id"))
+    return joined.select("doc_id", *carry, "bits", known.alias("component_id"))
