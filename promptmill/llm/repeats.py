@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,7 @@ GRAM = 32  # bytes whose hash may stand for a window
 CHUNK = 1 << 20  # windows looked at together
 BLOCK = 1 << 18  # bytes indexed together
 MOST_SEGMENTS = 256  # of one anchor that are indexed together
+HOT, MOST_HOT, SALTS = 1 << 14, 100_000, 64  # rows of a key that go to several tasks; such keys at most; parts
 STRIDE = 16  # windows of a common anchor that are counted as one run first
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -255,38 +256,62 @@ def _own_rows(keyed: DataFrame, owners: DataFrame, how: str) -> DataFrame:
     return keyed.join(named, same, how)
 
 
+def _spread(rows: DataFrame, facts: DataFrame, on: list[str], total: int) -> DataFrame:
+    """Join ``facts`` (one row a key, ``n`` rows of ``rows`` have it) to its rows; ``o`` deals those of a hot key.
+
+    A key is hot if it has over ``HOT`` rows and over a ``MOST_HOT``-th of all, so that there
+    are no more than ``MOST_HOT`` such keys, which are broadcast.
+    """
+    hot = F.col("n") > max(HOT, total // MOST_HOT)
+    keys = F.broadcast(facts.filter(hot).select(*on, F.lit(SALTS).alias("parts")))
+    part = F.pmod("o", F.coalesce("parts", F.lit(1))).cast("int").alias("part")
+    dealt = rows.join(keys, on, "left").select(*rows.columns, part)
+    parts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(facts.withColumn("part", F.explode(parts)).drop("n"), [*on, "part"]).drop("part")
+
+
+def _joined(spans: DataFrame) -> DataFrame:
+    """``k, c, spans``: the spans of each text that overlap or touch are made one before they are gathered."""
+    text = Window.partitionBy("k", "c").orderBy("start", "end")
+    reached = F.max("end").over(text.rowsBetween(Window.unboundedPreceding, -1))
+    begins = spans.withColumn("begins", F.when(F.col("start") <= reached, 0).otherwise(1))
+    runs = begins.withColumn("run", F.sum("begins").over(text.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.groupBy("k", "c", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return runs.groupBy("k", "c").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+
+
 def repeated_spans(keyed: DataFrame, owners: DataFrame, length: int) -> DataFrame:
-    """``k, c, spans``: the bytes of each single text that a repeated window covers (spans may overlap)."""
+    """``k, c, spans``: the bytes of each single text that a repeated window covers."""
     anchors = stage(_anchors(keyed, length), "anchors").withColumn("o", F.xxhash64("k", "cp"))
     several = F.min("o") != F.max("o")
-    again = anchors.groupBy("a").agg(several.alias("s")).filter("s").select("a")
-    seen = stage(anchors.join(again, "a", "left_semi"), "occurrences")
+    again = stage(anchors.groupBy("a").agg(several.alias("s"), F.count("*").alias("n")).filter("s").select("a", "n"), "anchors-again")
+    seen = stage(_spread(anchors, again, ["a"], anchors.count()), "occurrences")
     kinds = stage(
         seen.groupBy("a", "d").agg(
-            several.alias("multi"), F.min("k").alias("k"), F.min_by("cp", "k").alias("cp"), F.min("w").alias("w")
+            several.alias("multi"), F.min("k").alias("k"), F.min_by("cp", "k").alias("cp"), F.min("w").alias("w"), F.count("*").alias("n")
         ),
         "segments",
     )
-    sizes = kinds.groupBy("a").agg(F.count("*").alias("m")).filter("m > 1")
-    wanted = kinds.join(sizes, "a").withColumn("hot", F.col("m") > MOST_SEGMENTS).drop("m")
+    sizes = stage(kinds.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").withColumn("hot", F.col("n") > MOST_SEGMENTS), "sizes")
+    wanted = _spread(kinds.drop("n").withColumn("o", F.col("d")), sizes, ["a"], kinds.count()).drop("o")
     texts = stage(_fetched(keyed, owners, wanted, length), "segment-bytes")
     tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cold = texts.filter("NOT hot").select("a", "d", "multi", "w", "bytes").repartition(tasks, "a").sortWithinPartitions("a")
     found = cold.mapInPandas(lambda batches: _indexed(batches, length), _FLAGS)
     counted = _counted_windows(texts.filter("hot"), length)
     whole = kinds.filter("multi").select(
-        "a", "d", F.array(F.struct(F.lit(0).alias("s"), F.col("w").alias("e"))).alias("runs")
+        "a", "d", F.array(F.struct(F.lit(0).alias("s"), F.col("w").alias("e"))).alias("runs"), "n"
     )
-    part = found.union(counted).join(kinds.filter("NOT multi").select("a", "d"), ["a", "d"], "left_semi")
+    part = found.union(counted).join(kinds.filter("NOT multi").select("a", "d", "n"), ["a", "d"])
     flagged = stage(whole.union(part), "flagged")
     at = F.col("cp").bitwiseAND((1 << 32) - 1)
     spans = (
-        seen.join(flagged, ["a", "d"])
+        _spread(seen, flagged, ["a", "d"], seen.count())
         .select("k", F.shiftrightunsigned("cp", 32).alias("c"), at.alias("p"), F.inline("runs"))
         .select("k", "c", (F.col("p") + F.col("s")).alias("start"), (F.col("p") + F.col("e") + (length - 1)).alias("end"))
     )
     single = owners.filter("n = 1").select("k", "c")
-    return spans.join(single, ["k", "c"], "left_semi").groupBy("k", "c").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return _joined(spans.join(single, ["k", "c"], "left_semi"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
