@@ -60,14 +60,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id stays.
 
-    Rows without doc_id are in no group and stay. Of rows with one doc_id, one stays.
+    Rows without doc_id are in no group and stay. Of the rows with this doc_id only those stay whose own
+    text is in the group, one for each fingerprint: that of the smallest text.
     """
-    groups = stage(simhash_groups(docs, words=4, radius=4), "groups")
-    heads = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    kept = docs.join(heads.select("doc_id"), "doc_id", "left_semi")
-    if heads.filter("_rows > 1").limit(1).count():
-        order = Window.partitionBy("doc_id").orderBy("text")
-        kept = kept.withColumn("_row", F.row_number().over(order)).filter("_row = 1").drop("_row")
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    groups = stage(simhash_groups(keyed, words=4, radius=4, carry=["text_key"]), "groups")
+    heads = groups.filter("doc_id = component_id").groupBy("doc_id", "text_key", "bits").agg(F.count("*").alias("rows"))
+    kept = keyed.join(heads, ["doc_id", "text_key"])
+    several = heads.groupBy("doc_id", "bits").agg(F.sum("rows").alias("rows")).filter("rows > 1")
+    if several.limit(1).count():  # else every row is the first of its fingerprint
+        order = Window.partitionBy("doc_id", "bits").orderBy("text", *[F.col(c) for c in docs.columns if c in COLUMNS[2:]])
+        kept = kept.withColumn("row", F.row_number().over(order)).filter("row = 1")
     return kept.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
 
 
