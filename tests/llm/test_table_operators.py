@@ -308,6 +308,16 @@ def test_pipeline_run(spark):
     check_sequences(rows, 1024)
 
 
+def test_simhash_stage_judges_each_row_by_its_own_text(spark):
+    """Id 5 stands on a text of its own and on a copy of that of id 1; another id stands on two rows, alike."""
+    texts = ["one two three four five six seven", "alpha beta gamma delta epsilon zeta", "some other words that stand alone here"]
+    rows = [(1, texts[0]), (5, texts[0]), (5, texts[1]), (9, texts[2]), (9, texts[2])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for given, want in ((docs, rows[:1] + rows[2:4]), (docs.filter("doc_id < 9"), rows[:1] + rows[2:3])):
+        kept = dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, given, SF).collect()
+        assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted(want)
+
+
 def test_pipeline_stages_keep_columns_named_like_their_own(spark, tricky):
     names = ["_text", "_id", "_mix", "_rate", "_cell", "_language", "_repeats", "_cut", "_row", "_rows", "cell", "component_id", "bits"]
     docs = tricky.select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(f"own{c}").alias(c) for c in names])

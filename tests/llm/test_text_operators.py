@@ -289,6 +289,19 @@ def test_repeats(tricky, monkeypatch, most):
     assert got == want and set(tricky.columns) < set(found[0].asDict())
 
 
+def test_hot_anchors_and_segments_go_to_several_tasks(tricky, monkeypatch):
+    for name, value in (("HOT", 2), ("MOST_HOT", 1 << 40), ("SALTS", 3)):
+        monkeypatch.setattr(repeats, name, value)
+    test_repeats(tricky, monkeypatch, 4)
+
+
+def test_spans_of_a_text_are_merged_before_they_are_gathered(spark):
+    spans = [(1, 7, 0, 5), (1, 7, 5, 9), (1, 7, 2, 3), (1, 7, 11, 12), (2, 7, 4, 8), (2, 7, 4, 8)]
+    table = spark.createDataFrame(spans, "k long, c long, start long, end long")
+    found = {r["k"]: sorted(map(tuple, r["spans"])) for r in repeats._joined(table).collect()}
+    assert found == {1: [(0, 9), (11, 12)], 2: [(4, 8)]}
+
+
 def test_equal_windows_meet_in_one_core():
     draw = random.Random(9)
     shared = bytes(draw.choice(b"abcd") for _ in range(90))
