@@ -10,6 +10,7 @@ from catalog.queries import (
     CAP,
     EPOCHS,
     FLATTEN,
+    LIMIT_STEP,
     MAX_LEN,
     PER_CATEGORY,
     PER_DEVICE,
@@ -241,6 +242,25 @@ UNION ALL SELECT id, 1, 'user', {user} FROM {table}"""
 
 BATCH = PER_DEVICE * ACCUMULATION * WORLD
 
+def limits(step: int, batch: int, by: str = "lang") -> str:
+    """What every limit costs, by adding up all documents for each."""
+    steps = f"ceil({EPOCHS}::DOUBLE * {{}} / {batch})::BIGINT"
+    blocks = "((total + max_seq_length - 1) // max_seq_length)"
+    group = "c.grp AS lang, " if by == "lang" else ""
+    return f"""WITH w AS (SELECT {by} AS grp, len(regexp_extract_all(text, {WORDS}))::BIGINT AS n FROM documents),
+g AS (SELECT grp, count(*) AS n_rows, sum(n)::BIGINT AS total, max(n) AS longest FROM w GROUP BY grp),
+h AS (SELECT grp, n, count(*) AS n_rows FROM w GROUP BY grp, n),
+l AS (SELECT grp, unnest(range({step}, longest + {step}, {step}))::BIGINT AS max_seq_length FROM g WHERE longest > 0),
+c AS (SELECT l.grp, max_seq_length, sum(CASE WHEN h.n > max_seq_length THEN h.n_rows ELSE 0 END)::BIGINT AS n_cut,
+             sum(h.n_rows * least(h.n, max_seq_length))::BIGINT AS kept_tokens
+      FROM l JOIN h ON h.grp IS NOT DISTINCT FROM l.grp GROUP BY 1, 2)
+SELECT {group}max_seq_length, g.n_rows::BIGINT AS n, n_cut, round(n_cut::DOUBLE / g.n_rows, 6)::DOUBLE AS share_cut,
+       kept_tokens, (total - kept_tokens)::BIGINT AS lost_tokens,
+       (g.n_rows * max_seq_length - kept_tokens)::BIGINT AS padding_tokens,
+       {steps.format("g.n_rows")} AS steps, {blocks}::BIGINT AS packed_blocks, {steps.format(blocks)} AS packed_steps
+FROM c JOIN g ON g.grp IS NOT DISTINCT FROM c.grp"""
+
+
 ORACLE: dict[str, str] = {
     "parse_lines": f"""WITH {LOADED}
 SELECT id, instruction, output, difficulty FROM loaded""",
@@ -433,6 +453,15 @@ SELECT coalesce(a.id, b.id) AS id,
             WHEN a.response = b.response THEN 'same' ELSE 'changed' END AS status,
        b.completion_tokens - a.completion_tokens AS delta_tokens
 FROM a FULL OUTER JOIN b ON a.id = b.id""",
+    "length_limits": limits(1, PER_DEVICE * ACCUMULATION * WORLD),
+    "length_limits_stepped": limits(LIMIT_STEP, PER_DEVICE * ACCUMULATION, "0"),
+    "answer_changes_rebuilt": f"""WITH {RESULTS},
+a AS (SELECT * FROM answers WHERE run = 'a'), b AS (SELECT * FROM answers WHERE run = 'b')
+SELECT coalesce(a.id, b.id) AS id,
+       md5(coalesce(array_to_string(regexp_extract_all(a.response, {WORDS}), ' '), '')) AS before_md5,
+       md5(coalesce(array_to_string(regexp_extract_all(b.response, {WORDS}), ' '), '')) AS after_md5
+FROM a FULL OUTER JOIN b ON a.id = b.id
+WHERE coalesce(len(regexp_extract_all(a.response, {WORDS})), 0) + coalesce(len(regexp_extract_all(b.response, {WORDS})), 0) > 0""",
     "write_chat_roundtrip": f"""WITH {SPLIT}
 SELECT CASE split WHEN 'val' THEN 'validation' ELSE split END AS split, (3 * count(*))::BIGINT AS n,
        sum({len(SYSTEM)} + length(user_text) + length(output))::BIGINT AS n_chars

@@ -42,6 +42,7 @@ WORLD = 4
 PROMPTS_PER_FILE = 50
 EPOCHS, PER_DEVICE, ACCUMULATION = 3, 1, 8
 SUBSET, FLATTEN = 40, 0.85
+LIMIT_STEP = 16
 FORMS = {"chatml_assistant": templates.CHATML_ASSISTANT, "inst": templates.INST, "turns": templates.TURNS}
 
 REPORT_TIME = datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
@@ -377,6 +378,20 @@ def run_sizing(spark, sf_dir):
     return profile.run_sizing(split, EPOCHS, PER_DEVICE, ACCUMULATION, WORLD)
 
 
+def length_limits(spark, sf_dir):
+    """Every limit up to the longest document of each language, and what it costs."""
+    counted = chat.with_token_count(documents(spark, sf_dir).select("lang", "text")).drop("text")
+    costs = profile.length_limits(counted, ["lang"], epochs=EPOCHS, per_device=PER_DEVICE, accumulation=ACCUMULATION, world_size=WORLD)
+    return costs.withColumn("share_cut", F.round("share_cut", 6))
+
+
+def length_limits_stepped(spark, sf_dir):
+    """The same over all documents, at the multiples of a step."""
+    counted = chat.with_token_count(documents(spark, sf_dir).select("text")).drop("text")
+    costs = profile.length_limits(counted, [], step=LIMIT_STEP, epochs=EPOCHS, per_device=PER_DEVICE, accumulation=ACCUMULATION)
+    return costs.withColumn("share_cut", F.round("share_cut", 6))
+
+
 # Running totals
 
 
@@ -479,6 +494,29 @@ def compare_runs(spark, sf_dir):
     return both.select("id", "status", "delta_tokens")
 
 
+def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = results(spark, sf_dir).filter("response IS NOT NULL")
+    both = evaluate.compare_runs(table.filter("run = 'a'"), table.filter("run = 'b'"))
+    return evaluate.answer_changes(both)
+
+
+def answer_changes(spark, sf_dir):
+    """Kept, added and removed words of every answer of both runs."""
+    return changes(spark, sf_dir)
+
+
+def answer_changes_rebuilt(spark, sf_dir):
+    """Both answers put together again from the spans."""
+    spans = stage(changes(spark, sf_dir), "changes")
+    sides = {"before": ("kept", "removed"), "after": ("kept", "added")}
+    said = {
+        side: F.array_sort(F.collect_list(F.when(F.col("kind").isin(*kinds), F.struct("span", "words"))))
+        for side, kinds in sides.items()
+    }
+    whole = spans.groupBy("id").agg(*[said[side].alias(side) for side in sides])
+    return whole.select("id", *[F.md5(F.array_join(f"{side}.words", " ")).alias(f"{side}_md5") for side in sides])
+
+
 # Sinks
 
 
@@ -568,6 +606,8 @@ QUERIES: dict[str, Query] = {
     "token_length_profile": token_length_profile,
     "balance_categories": balance_categories,
     "run_sizing": run_sizing,
+    "length_limits": length_limits,
+    "length_limits_stepped": length_limits_stepped,
     "conversation_usage": conversation_usage,
     "pack_sequences": pack_sequences,
     "pack_by_position": pack_by_position,
@@ -580,6 +620,8 @@ QUERIES: dict[str, Query] = {
     "eval_results": eval_results,
     "eval_report": eval_report,
     "compare_runs": compare_runs,
+    "answer_changes": answer_changes,
+    "answer_changes_rebuilt": answer_changes_rebuilt,
     "write_chat_roundtrip": write_chat_roundtrip,
     "write_sidecar_roundtrip": write_sidecar_roundtrip,
     "prepare_files_roundtrip": prepare_files_roundtrip,

@@ -7,7 +7,8 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promptmill.functions.text import estimate_tokens
+from promptmill.functions.difference import difference_spans
+from promptmill.functions.text import estimate_tokens, tokens
 from promptmill.operators.chat import TokenCounter
 from promptmill.operators.records import SYSTEM_PROMPT, prompt_messages
 from promptmill.operators.templates import CHATML, Template
@@ -126,3 +127,31 @@ def compare_runs(before: DataFrame, after: DataFrame, on: list[str] | None = Non
         status.alias("status"),
         F.expr("_r1.completion_tokens - _r0.completion_tokens").alias("delta_tokens"),
     )
+
+
+def answer_changes(compared: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """How each answer changed, word by word: one row per span, from :func:`compare_runs`.
+
+    ``span`` numbers the spans of a pair from 0; ``kind`` is ``kept``, ``added`` or ``removed``;
+    ``before_at`` and ``after_at`` are the words before it on either side, ``n_words`` its length
+    and ``words`` what it says, joined by single spaces. The kept words are a longest common
+    subsequence. Words are those that are counted as tokens, so changes of white space alone do not show.
+    An answer that only one side has is one added or removed span; a pair without words has no row.
+
+    Pairs that are the same are not sent to Python. The work of a pair grows with the product of the
+    words between its shared ends, its memory with their sum; pairs are spread over the tasks of the
+    shuffle that brought them together.
+    """
+    names = keys or ["id"]
+    same = F.col("status") == "same"
+    words = lambda side: F.coalesce(tokens(F.col(side)), F.array().cast("array<string>"))
+    laid = compared.select(*names, same.alias("_same"), words("before").alias("_before"), words("after").alias("_after"))
+    zero, size = F.lit(0), F.size("_after")
+    whole = F.array(F.struct(F.lit("kept").alias("kind"), zero.alias("before_at"), zero.alias("after_at"), size.alias("n_words")))
+    alike = laid.filter("_same AND size(_after) > 0").withColumn("_spans", whole)
+    apart = laid.filter("NOT _same").withColumn("_spans", difference_spans("_before", "_after"))
+    spans = alike.unionByName(apart).select(*names, "_before", "_after", F.posexplode("_spans").alias("span", "_s"))
+    side = F.when(F.col("_s.kind") == "removed", F.slice("_before", F.col("_s.before_at") + 1, F.col("_s.n_words"))).otherwise(
+        F.slice("_after", F.col("_s.after_at") + 1, F.col("_s.n_words"))
+    )
+    return spans.select(*names, "span", "_s.kind", "_s.before_at", "_s.after_at", "_s.n_words", F.array_join(side, " ").alias("words"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promptmill.operators.running import running_totals
+from promptmill.operators.running import CHUNK, running_totals
 
 
 def category_distribution(df: DataFrame, category: Column | None = None) -> DataFrame:
@@ -87,3 +87,75 @@ def run_sizing(
         .agg(F.count("*").alias("n"))
         .select("split", "n", F.lit(batch).cast("bigint").alias("effective_batch"), steps.alias("steps"))
     )
+
+
+def length_limits(
+    df: DataFrame,
+    by: list[str],
+    n_tokens: str = "n_tokens",
+    step: int = 1,
+    epochs: float = 3,
+    per_device: int = 1,
+    accumulation: int = 8,
+    world_size: int = 1,
+) -> DataFrame:
+    """What every limit on the example length costs, per group: one row per limit.
+
+    Limits are the multiples of ``step`` up to the first that cuts nothing. ``n`` and ``n_cut`` are
+    the examples and those longer than ``max_seq_length``, ``share_cut`` their ratio; ``kept_tokens``
+    and ``lost_tokens`` are left and lost by cutting; ``padding_tokens`` fill examples up to the limit;
+    ``steps`` are the optimizer steps of one example a row. ``packed_blocks`` and ``packed_steps`` hold for
+    examples laid end to end, which loses nothing. Examples without tokens count as examples; a NULL length
+    counts as none. A group without any token has no limit and no row.
+
+    Examples are read once, into a histogram of lengths; all else works on that. Every limit is then
+    a running total over the histogram, in chunks of consecutive limits, so neither a long group nor a
+    very long example gives one task more than a chunk.
+    """
+    if step < 1:
+        raise ValueError("step must be positive")
+    n, rows = F.coalesce(F.col(n_tokens), F.lit(0)).cast("bigint"), F.col("_rows")
+    unit = F.expr(f"(_n + {step - 1}) div {step}")
+    histogram = (
+        df.select(*by, n.alias("_n"))
+        .groupBy(*by, unit.alias("_unit"))
+        .agg(F.count("*").alias("_rows"), F.sum("_n").alias("_tokens"))
+    )
+    sums = histogram.groupBy(*by).agg(F.sum("_rows").alias("n"), F.sum("_tokens").alias("_all"), F.max("_unit").alias("_last"))
+    # Chunks of limits first, then the limits of a chunk, so that no row holds an array of all limits.
+    chunks = sums.filter("_last > 0").select(*by, "_last", F.explode(F.expr(f"sequence(0, _last div {CHUNK})")).alias("_chunk"))
+    limits = chunks.select(
+        *by, F.explode(F.expr(f"sequence(greatest(_chunk * {CHUNK}, 1), least((_chunk + 1) * {CHUNK} - 1, _last))")).alias("_unit")
+    )
+    none = F.lit(0).cast("bigint")
+    dense = (
+        histogram.unionByName(limits.select(*by, "_unit", none.alias("_rows"), none.alias("_tokens")))
+        .groupBy(*by, "_unit")
+        .agg(F.sum("_rows").alias("_rows"), F.sum("_tokens").alias("_tokens"))
+    )
+    placed = running_totals(dense, by, "_unit", {"_rows_under": rows, "_tokens_under": F.col("_tokens")})
+    placed = placed.filter("_unit > 0")
+    if by:
+        group = sums.select(*[F.col(f"`{c}`").alias(f"_by_{i}") for i, c in enumerate(by)], "n", "_all")
+        placed = placed.join(group, [F.col(f"`{c}`").eqNullSafe(F.col(f"_by_{i}")) for i, c in enumerate(by)])
+    else:
+        placed = placed.withColumns({c: sums.select(c).scalar() for c in ("n", "_all")})
+    limit = F.col("_unit") * F.lit(step).cast("bigint")
+    cut = F.col("n") - F.col("_rows_under") - rows
+    kept = F.col("_tokens_under") + F.col("_tokens") + limit * cut
+    batch = effective_batch(per_device, accumulation, world_size)
+    steps = lambda examples: F.ceil(F.lit(float(epochs)) * examples / F.lit(batch)).cast("bigint")
+    blocks = F.expr(f"(_all + _unit * {step} - 1) div (_unit * {step})")
+    return placed.select(
+        *by,
+        limit.alias("max_seq_length"),
+        "n",
+        cut.alias("n_cut"),
+        (cut / F.col("n")).alias("share_cut"),
+        kept.alias("kept_tokens"),
+        (F.col("_all") - kept).alias("lost_tokens"),
+        (F.col("n") * limit - kept).alias("padding_tokens"),
+        steps(F.col("n")).alias("steps"),
+        blocks.alias("packed_blocks"),
+        steps(blocks).alias("packed_steps"),
+    )

@@ -16,11 +16,15 @@ def con():
     return connect(SF)
 
 
+#: Held against brute force in test_difference.py instead.
+WITHOUT_SQL = {"answer_changes"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query(spark, con, name):
     df = QUERIES[name](spark, SF)
     assert compare(df, con, name) == ""
