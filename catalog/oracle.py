@@ -471,6 +471,15 @@ SELECT id, pos, category FROM prepared WHERE written AND split = 'train'""",
     "prepare_files_roundtrip": f"""WITH {prepared()}
 SELECT id, pos, CASE WHEN input = '' THEN instruction ELSE concat(instruction, chr(10), chr(10), input) END AS "user"
 FROM prepared WHERE written AND split = 'train'""",
+    "write_bundle_roundtrip": f"""WITH {prepared()}
+SELECT id, pos, CASE WHEN input = '' THEN instruction ELSE concat(instruction, chr(10), chr(10), input) END AS "user"
+FROM prepared WHERE written AND split = 'train'""",
+    "bundle_manifest": f"""WITH {prepared()}
+SELECT unnest(['train.jsonl', 'val.jsonl', 'train_meta.jsonl', 'rejected.jsonl']) AS file,
+       unnest([count(*) FILTER (written AND split = 'train'), count(*) FILTER (written AND split = 'val'),
+               count(*) FILTER (written AND split = 'train'),
+               (SELECT count(*) FROM records WHERE {REASON} IS NOT NULL)])::BIGINT AS n_lines, true AS ok
+FROM prepared""",
     "write_report_roundtrip": f"""WITH {RESULTS}
 SELECT run, (sum(len(section) - len(replace(section, chr(10), '')) + 1) + {HEADER_LINES})::BIGINT AS n_lines,
        (sum(len(replace(section, chr(10), ''))) + {HEADER_CHARS})::BIGINT AS n_chars

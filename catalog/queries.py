@@ -24,7 +24,7 @@ from promptmill.plans import (
     write_training_shards,
 )
 from promptmill.plans import training_blocks as make_blocks
-from promptmill.sinks import write_chat, write_sidecar
+from promptmill.sinks import check_bundle, read_bundle, write_bundle, write_chat, write_sidecar
 from promptmill.sinks.writers import write_report
 from promptmill.sources import discovery
 from promptmill.sources import lines as src
@@ -549,6 +549,28 @@ def prepare_files_roundtrip(spark, sf_dir):
     return meta.join(chat_lines, "pos").select("id", "pos", user.alias("user"))
 
 
+def bundle(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_dir(spark, "bundle")
+    done = prepare(views.lines(spark, sf_dir), PrepareConfig(seed=SEED, system_prompt=SYSTEM))
+    write_bundle(done.records, done.quarantine, root, ordered=True)
+    return root
+
+
+def write_bundle_roundtrip(spark, sf_dir):
+    """All outputs written in one pass; chat and sidecar lines joined by their position."""
+    root = bundle(spark, sf_dir)
+    meta = read_bundle(spark, root, "train_meta.jsonl").select(F.from_json("value", "id string, pos bigint").alias("m"))
+    schema = "pos bigint, messages array<struct<content:string>>"
+    said = read_bundle(spark, root, "train.jsonl").select(F.from_json("value", schema).alias("c"))
+    joined = meta.select("m.*").join(said.select("c.*"), "pos")
+    return joined.select("id", "pos", F.element_at("messages", -2)["content"].alias("user"))
+
+
+def bundle_manifest(spark, sf_dir):
+    """Lines of every output as the manifest has them, and whether the files agree with it."""
+    return check_bundle(spark, bundle(spark, sf_dir)).select("file", "n_lines", "ok")
+
+
 def write_report_roundtrip(spark, sf_dir):
     """Both runs' reports written and read back as lines."""
     path = scratch_dir(spark, "reports")
@@ -625,5 +647,7 @@ QUERIES: dict[str, Query] = {
     "write_chat_roundtrip": write_chat_roundtrip,
     "write_sidecar_roundtrip": write_sidecar_roundtrip,
     "prepare_files_roundtrip": prepare_files_roundtrip,
+    "write_bundle_roundtrip": write_bundle_roundtrip,
+    "bundle_manifest": bundle_manifest,
     "write_report_roundtrip": write_report_roundtrip,
 }

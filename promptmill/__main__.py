@@ -38,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max_examples", type=int)
     p.add_argument("--seed", type=int, default=PrepareConfig.seed)
     p.add_argument("--ordered", action="store_true", help="write files in seeded order")
+    p.add_argument("--bundle", action="store_true", help="write all outputs in one pass, with a manifest")
 
     p = sub.add_parser("text", help="chat JSONL to rendered training text per worker")
     p.add_argument("--train_file", required=True)
@@ -80,7 +81,7 @@ def main(argv: list[str] | None = None) -> None:
         config = PrepareConfig(
             args.val_split, args.system_prompt, args.category_filter, args.max_examples, args.seed
         )
-        done = prepare_files(spark, args.output_dir, args.input, args.input_root, config, args.ordered)
+        done = prepare_files(spark, args.output_dir, args.input, args.input_root, config, args.ordered, args.bundle)
         done.counters.show()
         top_categories(done.categories).show(truncate=False)
         done.quarantine.groupBy("file", "reason").count().show(truncate=False)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptmill.functions.fields import category_key, category_label
@@ -17,10 +17,11 @@ from promptmill.operators.records import (
     parse_categories,
     to_messages,
 )
+from promptmill.sinks.bundle import write_bundle
 from promptmill.sinks.writers import write_chat, write_sidecar
 from promptmill.sources.discovery import discover_sources
 from promptmill.sources.lines import PLACE, accepted, quarantine, read_lines, tag_lines
-from promptmill.staging import stage
+from promptmill.staging import stage_counted
 
 
 @dataclass(frozen=True)
@@ -53,52 +54,67 @@ def prepare(lines: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepar
     """Parse, filter by category, order by seed, cap, split, then set incomplete records aside.
 
     Lines are parsed once into a staged table, and the ordered records staged
-    once, so that every output is a scan of the columns it needs.
+    once, so that every output is a scan of the columns it needs. The counters are
+    summed up while the two tables are written and cost no scan.
     """
     cap = check_cap(config.max_examples)
     validation_size(0, config.val_split)
     tagged = tag_lines(lines, keep_blank=set(PLACE) <= set(lines.columns))
     raw = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
-    parsed = stage(tagged.select(raw, *[c for c in tagged.columns if c != "value"]), "parsed")
+    parsed, read = stage_counted(
+        tagged.select(raw, *[c for c in tagged.columns if c != "value"]), "parsed", read_counts(config.category_filter)
+    )
     kept = filter_category(accepted(parsed), config.category_filter, category_key())
     ordered = order_records(kept, config.seed, digest=F.col("digest"), size="n_bytes", limit=cap)
     n = ordered.n if cap is None else min(cap, ordered.n)
     records = ordered.df.withColumns(
         {"split": split_column(validation_size(n, config.val_split)), "written": is_complete()}
     )
-    records = stage(
+    records, wrote = stage_counted(
         to_messages(records, config.system_prompt).drop("instruction", "input", "output", "digest", "n_bytes"),
         "records",
+        written_counts(),
         ["split"],
     )
+    counts = read | wrote
     return Prepared(
         records=records,
         quarantine=quarantine(parsed),
-        counters=run_counters(parsed, records, config.category_filter),
+        counters=lines.sparkSession.createDataFrame([tuple(counts.values())], ", ".join(f"{name} bigint" for name in counts)),
         categories=category_distribution(records, category_label()),
     )
 
 
-def run_counters(parsed: DataFrame, records: DataFrame, category_filter: str | None = None) -> DataFrame:
-    """One row: lines loaded and rejected, records after the filter, written per split, skipped."""
+def read_counts(category_filter: str | None = None) -> dict[str, Column]:
+    """Counts over the parsed lines: loaded, malformed, otherwise unusable, kept by the filter."""
     good = F.col("reason").isNull()
     wanted = parse_categories(category_filter)
     chosen = good if wanted is None else good & F.lower(category_key()).isin(wanted)
-    read = parsed.agg(
-        F.count_if(good).alias("loaded"),
-        F.count_if(F.col("reason") == "malformed").alias("malformed"),
-        F.count_if(~F.col("reason").isin("malformed", "blank")).alias("unusable"),
-        F.count_if(chosen).alias("kept"),
-    )
+    return {
+        "loaded": F.count_if(good),
+        "malformed": F.count_if(F.col("reason") == "malformed"),
+        "unusable": F.count_if(~F.col("reason").isin("malformed", "blank")),
+        "kept": F.count_if(chosen),
+    }
+
+
+def written_counts() -> dict[str, Column]:
+    """Counts over the ordered records: written per split, and skipped."""
     written = F.col("written")
-    wrote = records.agg(
-        F.count_if(written & (F.col("split") == "train")).alias("train"),
-        F.count_if(written & (F.col("split") == "val")).alias("val"),
-        F.count_if(~written).alias("skipped"),
+    return {
+        "train": F.count_if(written & (F.col("split") == "train")),
+        "val": F.count_if(written & (F.col("split") == "val")),
+        "skipped": F.count_if(~written),
+    }
+
+
+def run_counters(parsed: DataFrame, records: DataFrame, category_filter: str | None = None) -> DataFrame:
+    """The same counts of two tables that are there already, as one row; one scan of each."""
+    read, wrote = read_counts(category_filter), written_counts()
+    both = parsed.agg(*[c.alias(name) for name, c in read.items()]).unionByName(
+        records.agg(*[c.alias(name) for name, c in wrote.items()]), allowMissingColumns=True
     )
-    names = ["loaded", "malformed", "unusable", "kept", "train", "val", "skipped"]
-    both = read.unionByName(wrote, allowMissingColumns=True)
-    return both.agg(*[F.sum(name).alias(name) for name in names])
+    return both.agg(*[F.sum(name).alias(name) for name in read | wrote])
 
 
 def prepare_files(
@@ -108,17 +124,23 @@ def prepare_files(
     input_root: str | None = None,
     config: PrepareConfig = PrepareConfig(),
     ordered: bool = False,
+    bundle: bool = False,
 ) -> Prepared:
     """Read ``input`` (or the one data file below ``input_root``) and write the outputs.
 
     Chat lines and sidecar lines carry the same ``pos``. Rejected lines are written
-    to ``rejected.jsonl`` with file, line number and reason.
+    to ``rejected.jsonl`` with file, line number and reason. With ``bundle`` the outputs
+    are ``file=<name>`` folders written in one pass over the records, with a manifest
+    at the end; read them with ``read_bundle``.
     """
     if input is None:
         if input_root is None:
             raise ValueError("give an input path, or a folder to look in")
         input = discover_sources(spark, input_root)
     result = prepare(read_lines(spark, input), config)
+    if bundle:
+        write_bundle(result.records, result.quarantine, output_dir, ordered)
+        return result
     root = output_dir.rstrip("/")
     write_chat(result.split("train"), f"{root}/train.jsonl", ordered, with_pos=True)
     write_chat(result.split("val"), f"{root}/val.jsonl", ordered, with_pos=True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.operators.evaluate import report_header
@@ -12,7 +12,7 @@ from promptmill.operators.evaluate import report_header
 ROWS_PER_FILE = 500_000
 
 
-def _in_order(df: DataFrame, ordered: bool) -> DataFrame:
+def in_order(df: DataFrame, ordered: bool) -> DataFrame:
     """Sort by ``pos`` across part files, cut after every ``ROWS_PER_FILE`` positions, with one shuffle."""
     if not ordered:
         return df
@@ -21,14 +21,13 @@ def _in_order(df: DataFrame, ordered: bool) -> DataFrame:
     return df.repartitionById(last // ROWS_PER_FILE + 1, cut).sortWithinPartitions("pos")
 
 
-def write_chat(df: DataFrame, path: str, ordered: bool = False, with_pos: bool = False) -> None:
-    """One ``{"messages": [...]}`` object per line; non-ASCII text stays as it is."""
-    columns = ["pos", "messages"] if with_pos else ["messages"]
-    _in_order(df, ordered).select(F.to_json(F.struct(*columns))).write.mode("overwrite").text(path)
+def chat_line(with_pos: bool = False) -> Column:
+    """One ``{"messages": [...]}`` object; non-ASCII text stays as it is."""
+    return F.to_json(F.struct(*(["pos"] if with_pos else []), "messages"))
 
 
-def write_sidecar(df: DataFrame, path: str, ordered: bool = False, with_pos: bool = True) -> None:
-    """One ``{"id", "metadata"}`` object per line, with ``pos`` as the link to the chat lines.
+def sidecar_line(with_pos: bool = True) -> Column:
+    """One ``{"id", "metadata"}`` object, with ``pos`` as the link to the chat lines.
 
     A missing id is written as null, missing metadata as ``{}``; both pass
     through as they came.
@@ -38,8 +37,17 @@ def write_sidecar(df: DataFrame, path: str, ordered: bool = False, with_pos: boo
         *(["pos"] if with_pos else []),
         F.coalesce("metadata", F.parse_json(F.lit("{}"))).alias("metadata"),
     )
-    lines = _in_order(df, ordered).select(F.to_json(record, {"ignoreNullFields": "false"}))
-    lines.write.mode("overwrite").text(path)
+    return F.to_json(record, {"ignoreNullFields": "false"})
+
+
+def write_chat(df: DataFrame, path: str, ordered: bool = False, with_pos: bool = False) -> None:
+    """One chat line per record."""
+    in_order(df, ordered).select(chat_line(with_pos)).write.mode("overwrite").text(path)
+
+
+def write_sidecar(df: DataFrame, path: str, ordered: bool = False, with_pos: bool = True) -> None:
+    """One sidecar line per record."""
+    in_order(df, ordered).select(sidecar_line(with_pos)).write.mode("overwrite").text(path)
 
 
 def write_shards(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, columns: tuple[str, ...] = ("pos", "text")) -> None:

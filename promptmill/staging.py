@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -32,3 +32,17 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     path = scratch_dir(spark, label)
     df.write.partitionBy(*(partition_by or [])).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(
+    df: DataFrame, label: str, counts: dict[str, Column], partition_by: list[str] | None = None
+) -> tuple[DataFrame, dict[str, int]]:
+    """:func:`stage`, with counts summed up by the tasks that write.
+
+    They stand right before the write, in the last stage: of a task that is run again, or
+    twice, only one run counts. A later use of the staged table does not count anew.
+    """
+    seen = Observation()
+    staged = stage(df.observe(seen, *[c.alias(name) for name, c in counts.items()]), label, partition_by)
+    got = seen.get
+    return staged, {name: got.get(name) or 0 for name in counts}
