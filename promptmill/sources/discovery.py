@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from promptmill.functions.fields import configure, field, once
 from promptmill.functions.text import WHITESPACE_SQL, strip
+from promptmill.sources.heads import HEAD, can_open, read_heads
 from promptmill.sources.lines import in_array, is_single_value
 
 # Files that are never data, and how many lines are looked at.
@@ -53,25 +54,34 @@ def _head(spark: SparkSession, path: str) -> list[bytes]:
     return [bytes(row.value) for row in lines.take(SAMPLE_LINES)]
 
 
+def _heads(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Heads of files that only Spark's readers open: one short job per file, eight at a time."""
+    with ThreadPoolExecutor(8) as pool:
+        heads = dict(zip(paths, pool.map(lambda p: _head(spark, p), paths), strict=True))
+    rows = [(path, i, line) for path, head in heads.items() for i, line in enumerate(head or [b""])]
+    return spark.createDataFrame(rows, HEAD)
+
+
 def sniff_files(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
     """Verdict per file. Each is read as far as its third non-blank line, all by the same rule.
 
-    One short job per file, eight at a time, and one job that judges all heads.
+    Heads are read and judged in one job, by tasks that take many files each. Where the files are in a store
+    that only Spark opens, their heads come from one short job per file. The driver holds one verdict a file.
     """
-    with ThreadPoolExecutor(8) as pool:
-        heads = dict(zip(paths, pool.map(lambda p: _head(spark, p), paths), strict=True))
-    rows = [(path, i, line) for path, head in heads.items() for i, line in enumerate(head)]
-    if not rows:
-        return dict.fromkeys(paths, False)
-    table = spark.createDataFrame(rows, "file string, row int, value binary")
-    table = table.withColumn("value", F.col("value").cast("string"))
-    seen = {row.file: row.ok for row in sniff_shape(table, ["row"]).collect()}
-    return {path: seen.get(path, False) for path in paths}
+    if not paths:
+        return {}
+    configure(spark)
+    heads = read_heads(spark, paths, SAMPLE_LINES) if can_open(paths) else _heads(spark, paths)
+    lines = heads.withColumn("value", F.col("value").cast("string"))
+    judged = with_verdict(lines, "value").groupBy("file").agg(F.bool_and("ok").alias("ok")).collect()
+    return {row.file: row.ok for row in sorted(judged)}
 
 
 def sniff_file(spark: SparkSession, path: str) -> bool:
-    """The same for one file."""
-    return sniff_files(spark, [path])[path]
+    """The same for one file, or for a folder of part files, by Spark's own reader."""
+    lines = _heads(spark, [path]).withColumn("value", F.col("value").cast("string"))
+    configure(spark)
+    return with_verdict(lines, "value").agg(F.bool_and("ok").alias("ok")).first()[0]
 
 
 def _list_files(spark: SparkSession, root: str, pattern: str, recursive: bool = True) -> list[str]:
