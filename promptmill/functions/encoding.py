@@ -20,15 +20,22 @@ Encoder = Callable[[Column], Column]
 Spans = Callable[[str], tuple[list[int], list[int], list[int]]]
 
 ENCODING = "array<struct<id:int,start:int,end:int>>"
+#: Ids after which the rows so far are sent on.
+IDS_SENT = 1 << 16
 
 
 def encoder_from(make: Callable[[], Spans]) -> Encoder:
     """An Arrow UDF around an encoder of single texts; ``make`` is called once in every task.
 
     NULL text gives no ids. Batches come and go as Arrow arrays, and ids are laid end to end, so
-    that no row of Python objects is made.
+    that no row of Python objects is made. A batch of many or long texts goes back in several
+    arrays, so a task holds the ids of one text and ``IDS_SENT`` more beside its batch.
     """
 
+    def listed(ids: list[int], starts: list[int], ends: list[int], cuts: list[int]) -> pa.Array:
+        columns = [pa.array(values, pa.int32()) for values in (ids, starts, ends)]
+        return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.StructArray.from_arrays(columns, ["id", "start", "end"]))
+
     @F.arrow_udf(ENCODING)
     def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         spans = make()
@@ -41,8 +48,11 @@ def encoder_from(make: Callable[[], Spans]) -> Encoder:
                     starts.extend(found[1])
                     ends.extend(found[2])
                 cuts.append(len(ids))
-            columns = [pa.array(values, pa.int32()) for values in (ids, starts, ends)]
-            yield pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.StructArray.from_arrays(columns, ["id", "start", "end"]))
+                if len(ids) >= IDS_SENT:
+                    yield listed(ids, starts, ends, cuts)
+                    ids, starts, ends, cuts = [], [], [], [0]
+            if len(cuts) > 1:
+                yield listed(ids, starts, ends, cuts)
 
     return lambda text: F.coalesce(encode(text), F.array().cast(ENCODING))
 

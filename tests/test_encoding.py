@@ -7,12 +7,13 @@ import random
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from promptmill.functions import encoded_count, estimate_tokens, tokenizer_encoder
+from promptmill.functions import encoded_count, encoder_from, encoding, estimate_tokens, tokenizer_encoder
 from promptmill.operators.chat import render_chat, segment_examples, truncate_encoded, with_token_count
 from promptmill.operators.epochs import epoch_place, epoch_shards, halves, permuted, round_keys
 from promptmill.operators.subset import apportioned, weighted_subset
@@ -53,6 +54,20 @@ def test_encoder_equals_the_tokenizer(spark, bpe):
     assert [r["n_tokens"] for r in counted] == [len(r["e"]) for r in rows]
 
 
+def test_a_batch_of_many_ids_goes_back_in_parts(monkeypatch):
+    made = []
+    monkeypatch.setattr(encoding.F, "arrow_udf", lambda kind: lambda f: made.append(f) or f)
+    encoder_from(lambda: lambda text: ([ord(c) for c in text], list(range(len(text))), list(range(1, len(text) + 1))))
+    texts = [None, "", *["xyz" * 1000] * 200, "", "x" * 100_000, None, "y", None, ""]
+    parts = list(made[0](iter([pa.array(texts[:150]), pa.array([], pa.string()), pa.array([None], pa.string()), pa.array(texts[150:])])))
+    assert max(len(part.flatten()) for part in parts) < encoding.IDS_SENT + 100_000
+    assert sorted(len(part.flatten()) for part in parts)[-2] < encoding.IDS_SENT + 3000
+    want = [*texts[:150], None, *texts[150:]]
+    rows = [row for part in parts for row in part.to_pylist()]
+    assert ["".join(chr(x["id"]) for x in row) for row in rows] == [text or "" for text in want]
+    assert all([(x["start"], x["end"]) for x in row] == [(i, i + 1) for i in range(len(row))] for row in rows)
+
+
 def test_truncated_ids_and_text_agree(spark, bpe):
     texts = ["one two three four", "", None, "größer <|endoftext|> 日本", "x"]
     found = spark.createDataFrame([(t, "spans") for t in texts], "text string, n string")
