@@ -93,6 +93,18 @@ def test_blocks_of_a_subword_tokenizer_lose_no_id(chat, bpe):
         assert all(b["tokens"][s["place"] : s["place"] + s["length"]] == want[s["pos"]][s["start"] : s["start"] + s["length"]] for s in b["segments"])
 
 
+@pytest.mark.parametrize("most", [1, 50])
+def test_blocks_are_the_same_whatever_goes_back_at_once(chat, monkeypatch, most):
+    def found():
+        blocks = training_blocks(training_text(chat, encoder=tokenizer_encoder(MODEL)), 64)
+        again = segment_examples(blocks)
+        return [sorted((r.asDict(recursive=True) for r in df.collect()), key=str) for df in (blocks, again)]
+
+    whole = found()
+    monkeypatch.setattr(encoding, "IDS_SENT", most)
+    assert found() == whole
+
+
 @pytest.mark.parametrize("packing", [True, False])
 def test_examples_come_back_from_segments(chat, packing):
     text = training_text(chat)
