@@ -78,6 +78,19 @@ def test_truncated_ids_and_text_agree(spark, bpe):
         assert row["text_end"] == max([end for _, end in ids.offsets[:3]], default=0)
 
 
+@pytest.mark.parametrize("most", [1, 4])
+def test_truncated_ids_are_the_same_whatever_goes_back_at_once(spark, monkeypatch, most):
+    texts = ["one two three four five", "", None, "größer <|endoftext|> 日本", "x", None, "", "x y z", None] * 3
+    found = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").coalesce(1)
+
+    def cut():
+        return truncate_encoded(found, tokenizer_encoder(MODEL), 3).orderBy("i").collect()
+
+    whole = cut()
+    monkeypatch.setattr(encoding, "IDS_SENT", most)
+    assert cut() == whole
+
+
 def test_blocks_of_a_subword_tokenizer_lose_no_id(chat, bpe):
     text = training_text(chat, encoder=tokenizer_encoder(MODEL))
     ordered = text.orderBy("pos").collect()
